@@ -21,6 +21,22 @@ def node_at(raw: Column, path: str) -> Column:
     return F.try_variant_get(raw, f"$.{path}", "variant")
 
 
+def extract(
+    raw: DataFrame, texts: dict[str, str], nodes: dict[str, str], keep: list[str]
+) -> DataFrame:
+    """Paths of the `raw` column as columns, and nothing else.
+
+    Reading paths in a projection of their own lets the Parquet scan hand over just these fields;
+    mixed with the cleaning expressions the whole VARIANT would have to travel along.
+    """
+    raw_column = F.col("raw")
+    return raw.select(
+        *[text_at(raw_column, path).alias(name) for name, path in texts.items()],
+        *[node_at(raw_column, path).alias(name) for name, path in nodes.items()],
+        *keep,
+    )
+
+
 def elements(node: Column) -> Column:
     """Elements of a VARIANT array; NULL when the node is missing or not an array."""
     return F.try_variant_get(node, "$", "array<variant>")

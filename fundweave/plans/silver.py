@@ -16,8 +16,8 @@ from ..operators.ordering import first_per_key, newest_first
 LOAD_COLUMNS = ["_source_file", "_loaded_at"]
 
 
-def _at(path: str) -> Column:
-    return V.text_at(F.col("raw"), path)
+def _same_names(*names: str) -> dict[str, str]:
+    return {n: n for n in names}
 
 
 def _keep_one_copy(versions: DataFrame, key: str) -> DataFrame:
@@ -35,31 +35,41 @@ def latest_version(history: DataFrame, key: str) -> DataFrame:
 
 def award_history(raw: DataFrame) -> DataFrame:
     """One row per award version (award_id, updated_at)."""
-    read = raw.select(
-        T.short_id(_at("id")).alias("award_id"),
-        R.safe_timestamp(_at("updated_date")).alias("updated_at"),
-        R.safe_timestamp(_at("created_date")).alias("created_at"),
-        T.clean_text(_at("display_name")).alias("award_title"),
-        T.clean_text(_at("description")).alias("award_description"),
-        T.trimmed(_at("funder_award_id")).alias("funder_award_id"),
-        T.trimmed(_at("funder_scheme")).alias("funder_scheme"),
-        T.lower_code(_at("funding_type")).alias("funding_type"),
-        T.short_id(_at("funder.id")).alias("funder_id"),
-        T.clean_text(_at("funder.display_name")).alias("funder_name"),
-        R.safe_money(_at("amount")).alias("_amount"),
-        T.upper_code(_at("currency")).alias("currency"),
-        R.safe_date(_at("start_date")).alias("_start"),
-        R.safe_int(_at("start_year")).alias("start_year"),
-        R.safe_date(_at("end_date")).alias("_end"),
-        R.safe_int(_at("end_year")).alias("end_year"),
-        T.short_id(_at("primary_topic.id")).alias("primary_topic_id"),
-        V.node_at(F.col("raw"), "institution_awarded").alias("institutions_awarded"),
-        T.short_id(_at("institution_awarded[0].id")).alias("lead_institution_id"),
-        V.node_at(F.col("raw"), "funded_outputs").alias("funded_outputs"),
-        R.safe_int(_at("funded_outputs_count")).alias("_outputs"),
-        T.lower_code(_at("doi")).alias("doi"),
-        T.trimmed(_at("landing_page_url")).alias("landing_page_url"),
-        T.trimmed(_at("provenance")).alias("provenance"),
+    texts = {
+        **_same_names("id", "updated_date", "created_date", "display_name", "description",
+                      "funder_award_id", "funder_scheme", "funding_type", "amount", "currency",
+                      "start_date", "start_year", "end_date", "end_year", "funded_outputs_count",
+                      "doi", "landing_page_url", "provenance"),
+        "funder": "funder.id", "funder_display_name": "funder.display_name",
+        "topic": "primary_topic.id", "lead_institution": "institution_awarded[0].id",
+    }
+    nodes = {"institutions_awarded": "institution_awarded", "funded_outputs": "funded_outputs"}
+    c = F.col
+    read = V.extract(raw, texts, nodes, LOAD_COLUMNS).select(
+        T.short_id(c("id")).alias("award_id"),
+        R.safe_timestamp(c("updated_date")).alias("updated_at"),
+        R.safe_timestamp(c("created_date")).alias("created_at"),
+        T.clean_text(c("display_name")).alias("award_title"),
+        T.clean_text(c("description")).alias("award_description"),
+        T.trimmed(c("funder_award_id")).alias("funder_award_id"),
+        T.trimmed(c("funder_scheme")).alias("funder_scheme"),
+        T.lower_code(c("funding_type")).alias("funding_type"),
+        T.short_id(c("funder")).alias("funder_id"),
+        T.clean_text(c("funder_display_name")).alias("funder_name"),
+        R.safe_money(c("amount")).alias("_amount"),
+        T.upper_code(c("currency")).alias("currency"),
+        R.safe_date(c("start_date")).alias("_start"),
+        R.safe_int(c("start_year")).alias("start_year"),
+        R.safe_date(c("end_date")).alias("_end"),
+        R.safe_int(c("end_year")).alias("end_year"),
+        T.short_id(c("topic")).alias("primary_topic_id"),
+        "institutions_awarded",
+        T.short_id(c("lead_institution")).alias("lead_institution_id"),
+        "funded_outputs",
+        R.safe_int(c("funded_outputs_count")).alias("_outputs"),
+        T.lower_code(c("doi")).alias("doi"),
+        T.trimmed(c("landing_page_url")).alias("landing_page_url"),
+        T.trimmed(c("provenance")).alias("provenance"),
         *LOAD_COLUMNS,
     ).filter(F.col("award_id").isNotNull())
 
@@ -92,23 +102,28 @@ def award_history(raw: DataFrame) -> DataFrame:
 def work_history(raw: DataFrame, as_of: Column | None = None) -> DataFrame:
     """One row per publication version (work_id, updated_at). `as_of` bounds plausible years."""
     today = F.current_date() if as_of is None else as_of
-    node = lambda path: V.node_at(F.col("raw"), path)
-    read = raw.select(
-        T.short_id(_at("id")).alias("work_id"),
-        R.safe_timestamp(_at("updated_date")).alias("updated_at"),
-        T.lower_code(_at("doi")).alias("doi"),
-        F.coalesce(T.clean_text(_at("title")), T.clean_text(_at("display_name"))).alias("title"),
-        R.safe_int(_at("publication_year")).alias("_year"),
-        R.safe_date(_at("publication_date")).alias("publication_date"),
-        T.lower_code(_at("type")).alias("work_type"),
-        T.lower_code(_at("language")).alias("language"),
-        R.non_negative_or_null(R.safe_int(_at("cited_by_count"))).alias("cited_by_count"),
-        R.safe_double(_at("fwci")).alias("fwci"),
-        F.coalesce(R.safe_bool(_at("is_retracted")), F.lit(False)).alias("is_retracted"),
-        T.short_id(_at("primary_topic.id")).alias("primary_topic_id"),
-        node("abstract_inverted_index").alias("abstract_inverted_index"),
-        node("authorships").alias("authorships"),
-        node("awards").alias("awards"),
+    texts = {
+        **_same_names("id", "updated_date", "doi", "title", "display_name", "publication_year",
+                      "publication_date", "type", "language", "cited_by_count", "fwci",
+                      "is_retracted"),
+        "topic": "primary_topic.id",
+    }
+    nodes = _same_names("abstract_inverted_index", "authorships", "awards")
+    c = F.col
+    read = V.extract(raw, texts, nodes, LOAD_COLUMNS).select(
+        T.short_id(c("id")).alias("work_id"),
+        R.safe_timestamp(c("updated_date")).alias("updated_at"),
+        T.lower_code(c("doi")).alias("doi"),
+        F.coalesce(T.clean_text(c("title")), T.clean_text(c("display_name"))).alias("title"),
+        R.safe_int(c("publication_year")).alias("_year"),
+        R.safe_date(c("publication_date")).alias("publication_date"),
+        T.lower_code(c("type")).alias("work_type"),
+        T.lower_code(c("language")).alias("language"),
+        R.non_negative_or_null(R.safe_int(c("cited_by_count"))).alias("cited_by_count"),
+        R.safe_double(c("fwci")).alias("fwci"),
+        F.coalesce(R.safe_bool(c("is_retracted")), F.lit(False)).alias("is_retracted"),
+        T.short_id(c("topic")).alias("primary_topic_id"),
+        *nodes,
         *LOAD_COLUMNS,
     ).filter(F.col("work_id").isNotNull())
 
@@ -174,37 +189,48 @@ def work_awards(works: DataFrame) -> DataFrame:
 
 
 def funders(raw: DataFrame) -> DataFrame:
-    read = raw.select(
-        T.short_id(_at("id")).alias("funder_id"),
-        T.clean_text(_at("display_name")).alias("funder_name"),
-        T.clean_text(_at("description")).alias("funder_description"),
-        T.upper_code(_at("country_code")).alias("country_code"),
-        R.safe_bool(_at("is_global_south")).alias("is_global_south"),
-        T.short_id(_at("ids.ror")).alias("ror_id"),
-        T.trimmed(_at("homepage_url")).alias("homepage_url"),
-        R.non_negative_or_null(R.safe_int(_at("awards_count"))).alias("awards_count"),
-        R.non_negative_or_null(R.safe_int(_at("works_count"))).alias("works_count"),
-        R.safe_timestamp(_at("updated_date")).alias("updated_at"),
+    texts = {
+        **_same_names("id", "display_name", "description", "country_code", "is_global_south",
+                      "homepage_url", "awards_count", "works_count", "updated_date"),
+        "ror": "ids.ror",
+    }
+    c = F.col
+    read = V.extract(raw, texts, {}, LOAD_COLUMNS).select(
+        T.short_id(c("id")).alias("funder_id"),
+        T.clean_text(c("display_name")).alias("funder_name"),
+        T.clean_text(c("description")).alias("funder_description"),
+        T.upper_code(c("country_code")).alias("country_code"),
+        R.safe_bool(c("is_global_south")).alias("is_global_south"),
+        T.short_id(c("ror")).alias("ror_id"),
+        T.trimmed(c("homepage_url")).alias("homepage_url"),
+        R.non_negative_or_null(R.safe_int(c("awards_count"))).alias("awards_count"),
+        R.non_negative_or_null(R.safe_int(c("works_count"))).alias("works_count"),
+        R.safe_timestamp(c("updated_date")).alias("updated_at"),
         *LOAD_COLUMNS,
     )
     return latest_version(read.filter(F.col("funder_id").isNotNull()), "funder_id")
 
 
 def topics(raw: DataFrame) -> DataFrame:
-    levels = []
-    for level in ("subfield", "field", "domain"):
-        levels += [
-            T.short_id(_at(f"{level}.id")).alias(f"{level}_id"),
-            T.clean_text(_at(f"{level}.display_name")).alias(f"{level}_name"),
+    levels = ("subfield", "field", "domain")
+    texts = _same_names("id", "display_name", "description", "works_count", "updated_date")
+    for level in levels:
+        texts |= {level: f"{level}.id", f"{level}_display_name": f"{level}.display_name"}
+    c = F.col
+    hierarchy = []
+    for level in levels:
+        hierarchy += [
+            T.short_id(c(level)).alias(f"{level}_id"),
+            T.clean_text(c(f"{level}_display_name")).alias(f"{level}_name"),
         ]
-    read = raw.select(
-        T.short_id(_at("id")).alias("topic_id"),
-        T.clean_text(_at("display_name")).alias("topic_name"),
-        T.clean_text(_at("description")).alias("topic_description"),
-        V.node_at(F.col("raw"), "keywords").alias("keywords"),
-        *levels,
-        R.safe_int(_at("works_count")).alias("works_count"),
-        R.safe_timestamp(_at("updated_date")).alias("updated_at"),
+    read = V.extract(raw, texts, {"keywords": "keywords"}, LOAD_COLUMNS).select(
+        T.short_id(c("id")).alias("topic_id"),
+        T.clean_text(c("display_name")).alias("topic_name"),
+        T.clean_text(c("description")).alias("topic_description"),
+        "keywords",
+        *hierarchy,
+        R.safe_int(c("works_count")).alias("works_count"),
+        R.safe_timestamp(c("updated_date")).alias("updated_at"),
         *LOAD_COLUMNS,
     )
     return latest_version(read.filter(F.col("topic_id").isNotNull()), "topic_id")

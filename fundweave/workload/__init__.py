@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("star",)
+MODULES = ("star", "scalars", "records")
 
 
 def _load() -> None:

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("star", "scalars", "records")
+MODULES = ("star", "scalars", "records", "loads")
 
 
 def _load() -> None:

@@ -38,23 +38,23 @@ def running_totals(
     block: str,
     order: Sequence[Column],
     totals: dict[str, Column],
+    overall: dict[str, str] | None = None,
 ) -> DataFrame:
     """Adds the inclusive running total of each expression in `totals`, ordered by (block, *order).
 
     `block` is an existing column whose values are compatible with the wanted order and small
     enough that one block of one group fits a task. No window ever spans more than one block, or
-    one group's block totals.
+    one group's block totals. `overall` adds {new column: name in totals} with the group's sum.
     """
     cells = df.groupBy(*group, block).agg(*[F.sum(e).alias(f"_c_{n}") for n, e in totals.items()])
-    before = (
-        Window.partitionBy(*(group or [F.lit(0)]))
-        .orderBy(block)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    before = whole.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    overall = overall or {}
     offsets = cells.select(
         *group,
         block,
         *[F.coalesce(F.sum(f"_c_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in totals],
+        *[F.sum(f"_c_{n}").over(whole).alias(a) for a, n in overall.items()],
     )
     upto = (
         Window.partitionBy(*group, block)
@@ -65,11 +65,56 @@ def running_totals(
     return local.join(offsets, [*group, block]).select(
         *df.columns,
         *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in totals],
+        *overall,
     )
 
 
 def rank_in_group(
-    df: DataFrame, group: Sequence[str], block: str, order: Sequence[Column], name: str
+    df: DataFrame,
+    group: Sequence[str],
+    block: str,
+    order: Sequence[Column],
+    name: str,
+    size: str | None = None,
 ) -> DataFrame:
-    """1-based rank of every row inside its group, without gathering the group in one task."""
-    return running_totals(df, group, block, order, {name: F.lit(1).cast("long")})
+    """1-based rank of every row inside its group, and on request the group's size, without
+    gathering the group in one task."""
+    one = {name: F.lit(1).cast("long")}
+    return running_totals(df, group, block, order, one, {size: name} if size else None)
+
+
+def value_blocks(df: DataFrame, column: str, blocks: int = 32) -> Column:
+    """Block number of a numeric column: how many of its approximate quantiles it reaches.
+
+    An action over one column; `blocks` numbers come back. Blocks only steer how the work is
+    spread, so approximate bounds cost no exactness.
+    """
+    steps = [i / blocks for i in range(1, blocks)]
+    bounds = sorted(set(df.approxQuantile(column, steps, 0.01)))
+    if not bounds:
+        return F.lit(0)
+    reached = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(column))
+    return F.size(reached)
+
+
+def quantiles(df: DataFrame, columns: Sequence[str], steps: Sequence[float]) -> DataFrame:
+    """Exact quantiles (linear interpolation, NULLs ignored) of several numeric columns.
+
+    One row per column: name, n, then one column per step. Equal values are counted before
+    anything is ordered, and the ordering is done in blocks.
+    """
+    named = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]))
+    values = df.select(named.alias("_v")).select("_v.name", "_v.value").filter("value IS NOT NULL")
+    counts = values.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    blocked = counts.withColumn("_block", value_blocks(counts, "value"))
+    ranked = running_totals(
+        blocked, ["name"], "_block", [F.col("value")], {"upto": F.col("n")}, {"total": "upto"}
+    )
+    picks = []
+    for step in steps:
+        at = F.lit(step) * (F.col("total") - 1)
+        low = F.min(F.when(F.col("upto") > F.floor(at), F.col("value")))
+        high = F.min(F.when(F.col("upto") > F.ceil(at), F.col("value")))
+        share = F.first(at - F.floor(at))
+        picks.append((low + (high - low) * share).alias(f"q{round(step * 100)}"))
+    return ranked.groupBy("name").agg(F.first("total").alias("n"), *picks)

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("star", "scalars", "records", "loads")
+MODULES = ("star", "scalars", "records", "loads", "pairs")
 
 
 def _load() -> None:

@@ -4,6 +4,9 @@ A draw is arithmetic on row numbers. Candidates are numbered inside their bucket
 for consecutive slots, and slot i of a work is candidate (start + i * STRIDE) mod size: distinct
 slots give distinct candidates, so nothing is drawn twice and no list of candidates is ever built.
 Rows meet by an equi-join on (bucket, number); a popular bucket is spread over all its numbers.
+
+Ranking reads its input twice, so inputs that are costly to derive are written to the shared
+folder first (`cut`): each step is computed once, and a lost executor costs a re-read.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.workspace import cut
 from .ordering import rank_in_group
 from .quality import union_all
 
@@ -21,7 +25,6 @@ NEGATIVES_PER_POSITIVE = 4
 SEED = 42
 
 STRIDE = 2_147_483_647  # prime and larger than any bucket, so it shares no factor with its size
-OVERDRAW = 2
 NUMBER_BLOCKS = 64
 SLOT_BLOCK = 65_536
 
@@ -94,12 +97,12 @@ def random_negatives(
 ) -> DataFrame:
     """`ratio` awards per positive that the work did not receive, drawn from all awards.
 
-    Twice as many slots are drawn as needed. A work with n positives can lose at most n of its
-    2 * ratio * n draws to awards it received, so enough remain whenever that many awards exist.
+    One slot more per positive is drawn than needed. A work with n positives can lose at most n of
+    its (ratio + 1) * n draws to awards it received, so enough remain whenever that many exist.
     """
-    pool = numbered(awards.select("award_key"), [], "award_key", hash_of)
-    slots = _slots(positives.select("work_key", "award_key"), [], ratio * OVERDRAW, hash_of)
-    drawn = _not_received(_draw(slots, pool, [], hash_of), positives)
+    pool = cut(numbered(awards.select("award_key"), [], "award_key", hash_of), "pool")
+    slots = _slots(positives.select("work_key", "award_key"), [], ratio + 1, hash_of)
+    drawn = cut(_not_received(_draw(slots, pool, [], hash_of), positives), "drawn")
     ranked = _first_by_slot(drawn, [F.col("slot")], "_rank").join(_wanted(positives), "work_key")
     return ranked.filter(F.col("_rank") <= F.col("_n") * ratio).select("work_key", "award_key")
 
@@ -123,15 +126,16 @@ def hard_negatives(
     awards: award_key, first_year, last_year (NULL = open), topic, country
 
     Where hard candidates run out, random ones fill in, and where those run out, spare hard ones.
+    The random slots alone cover ratio * n awards not received whenever that many are in force.
     """
     span = positives.agg(F.min("year").alias("a"), F.max("year").alias("b")).first()
     if span["a"] is None:
         return positives.limit(0).select("work_key", "award_key", F.lit("").alias("kind"))
-    pool = in_force_pool(awards, span["a"], span["b"])
+    pool = cut(in_force_pool(awards, span["a"], span["b"]), "pool")
 
     bucket = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *[F.col(p).cast("string") for p in parts])
     kinds = {"topic": ["year", "topic"], "country": ["year", "country"], "any": ["year"]}
-    hard_each, any_each = ratio // 2, ratio * OVERDRAW
+    hard_each, any_each = ratio // 2, ratio + ratio // 2
     labelled, requests = [], []
     for kind, parts in kinds.items():
         known = F.col(parts[-1]).isNotNull() & F.col("year").isNotNull()
@@ -140,7 +144,7 @@ def hard_negatives(
         rows = positives.filter(known).select("work_key", "award_key", tag)
         requests.append(_slots(rows, ["bucket"], any_each if kind == "any" else hard_each, hash_of))
     members = union_all(labelled)
-    candidates = numbered(members, ["bucket"], "award_key", hash_of)
+    candidates = cut(numbered(members, ["bucket"], "award_key", hash_of), "candidates")
     drawn = _draw(union_all(requests), candidates, ["bucket"], hash_of)
 
     is_any = F.col("bucket").startswith("any|")
@@ -148,7 +152,7 @@ def hard_negatives(
         F.min(F.when(is_any, 1).otherwise(0)).alias("tier"),
         F.min(F.struct(F.when(is_any, 1).otherwise(0).alias("tier"), F.col("slot")))["slot"].alias("slot"),
     )
-    fresh = _not_received(best, positives).join(_wanted(positives), "work_key")
+    fresh = cut(_not_received(best, positives).join(_wanted(positives), "work_key"), "fresh")
     order = [F.col("slot"), F.col("award_key")]
     hard = _first_by_slot(fresh.filter("tier = 0"), order, "_place")
     spare = F.col("_place") > F.col("_n") * hard_each
@@ -156,6 +160,6 @@ def hard_negatives(
     both = hard.unionByName(fresh.filter("tier = 1")).withColumn(
         "_b", F.col("tier") * F.lit(1 << 32) + F.floor(F.col("slot") / SLOT_BLOCK)
     )
-    chosen = rank_in_group(both, ["work_key"], "_b", order, "_rank")
+    chosen = rank_in_group(cut(both, "tiers"), ["work_key"], "_b", order, "_rank")
     kind = F.when(F.col("tier") == 1, "random").otherwise("hard").alias("kind")
     return chosen.filter(F.col("_rank") <= F.col("_n") * ratio).select("work_key", "award_key", kind)

@@ -6,7 +6,7 @@ import importlib
 
 from .registry import ORACLES, QUERIES
 
-MODULES = ("star", "scalars", "records", "loads", "pairs")
+MODULES = ("star", "scalars", "records", "loads", "pairs", "scoring")
 
 
 def _load() -> None:

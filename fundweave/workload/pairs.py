@@ -89,7 +89,7 @@ SAMPLE = {
 FROM {{links}} WHERE work_key IN (SELECT work_key FROM {{chosen}})""",
     "pool": f"""SELECT award_id AS award_key, row_number() OVER (ORDER BY {hash_order("award_id")}) - 1 AS number,
        count(*) OVER () AS size FROM {{s_awards}}""",
-    "slots": "SELECT work_key, (turn - 1) * 8 + j AS slot FROM {pos}, range(8) r(j)",
+    "slots": "SELECT work_key, (turn - 1) * 5 + j AS slot FROM {pos}, range(5) r(j)",
     "drawn": f"""SELECT s.work_key, p.award_key, slot FROM (
   SELECT work_key, slot, ({hash_sql("work_key")} + slot * {PRIME}) % (SELECT max(size) FROM {{pool}}) AS number
   FROM {{slots}} WHERE slot < (SELECT max(size) FROM {{pool}})) s JOIN {{pool}} p ON p.number = s.number""",
@@ -144,9 +144,9 @@ LEFT JOIN {s_funders} f ON f.funder_id = a.funder_id""",
 FROM (
   SELECT work_key, award_key, 'topic|' || year || '|' || topic AS bucket, 2 AS per FROM {{positives}} WHERE topic IS NOT NULL
   UNION ALL SELECT work_key, award_key, 'country|' || year || '|' || country, 2 FROM {{positives}} WHERE country IS NOT NULL
-  UNION ALL SELECT work_key, award_key, 'any|' || year, 8 FROM {{positives}}) q, range(1) r(j)""",
+  UNION ALL SELECT work_key, award_key, 'any|' || year, 6 FROM {{positives}}) q, range(1) r(j)""",
     "all_slots": """SELECT work_key, bucket, slot + i AS slot FROM {requests}, range(8) t(i)
-WHERE i < CASE WHEN bucket LIKE 'any|%' THEN 8 ELSE 2 END""",
+WHERE i < CASE WHEN bucket LIKE 'any|%' THEN 6 ELSE 2 END""",
     "picked": f"""SELECT s.work_key, b.award_key, min(CASE WHEN s.bucket LIKE 'any|%' THEN 1 ELSE 0 END) AS tier,
        min(slot) FILTER (s.bucket NOT LIKE 'any|%') AS hard_slot, min(slot) AS any_slot
 FROM (SELECT s0.*, size, ({hash_sql("s0.work_key")} + slot * {PRIME}) % size AS number

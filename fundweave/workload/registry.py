@@ -32,7 +32,7 @@ def plain(df: DataFrame) -> DataFrame:
     """Dates and timestamps as text, decimals as doubles, lists joined by '|'."""
 
     def cell(f):
-        c, t = F.col(f.name), f.dataType
+        c, t = F.col(f"`{f.name}`"), f.dataType
         if isinstance(t, T.DateType):
             c = c.cast("string")
         elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):

@@ -81,10 +81,12 @@ def explode_elements(df: DataFrame, node: str, *keep: str | Column) -> DataFrame
 
 
 def json_list_contains(json_list: Column, value: Column) -> Column:
-    """1.0 when `value` is an item of a JSON list held as text, 0.0 otherwise (NULL or empty -> 0.0)."""
-    items = F.from_json(json_list, "array<string>")
-    hit = F.array_contains(items, blank_to_null(value))
-    return F.coalesce(hit.cast("double"), F.lit(0.0))
+    """1.0 when `value` is an item of a JSON list of codes held as text, else 0.0 (also for NULLs).
+
+    Looks for the quoted code in the text: codes hold no quotes, so no list has to be parsed.
+    """
+    quoted = F.concat(F.lit('"'), blank_to_null(value), F.lit('"'))
+    return F.coalesce(F.contains(json_list, quoted).cast("double"), F.lit(0.0))
 
 
 def list_contains(items: Column, value: Column) -> Column:

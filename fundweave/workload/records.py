@@ -18,7 +18,7 @@ from ..sources import workspace
 from ..sources.tables import SnapshotStore
 from .registry import query
 from .scalars import CLEAN_SQL
-from .shape import SHAPES, oracle, select, shape
+from .shape import SHAPES, oracle, select, shape, spread
 
 SHAPES["rec_awards"] = """
 SELECT 'https://records.example/' || CASE WHEN k % 97 = 0 THEN 'G/' ELSE 'G' || CAST(k AS STRING) END AS id,
@@ -154,7 +154,7 @@ def raw_awards(spark: SparkSession, sf: str) -> DataFrame:
         _first_n("n_outputs", F.lit("x"), F.lit("y")).alias("funded_outputs"),
         F.col("outputs_count").alias("funded_outputs_count"),
     )
-    return stored(shape(spark, sf, "rec_awards").select(F.to_variant_object(record).alias("raw"), *LOAD))
+    return stored(spread(shape(spark, sf, "rec_awards")).select(F.to_variant_object(record).alias("raw"), *LOAD))
 
 
 def word_positions(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,7 +40,7 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(t, T.DecimalType):
             c = c.cast("double")
         elif isinstance(t, T.ArrayType):
-            c = F.array_join(c.cast("array<string>"), "|")
+            c = F.when(c.isNotNull(), F.concat_ws("|", c.cast("array<string>")))
         return c.alias(f.name)
 
     return df.select(*[cell(f) for f in df.schema.fields])

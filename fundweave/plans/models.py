@@ -7,7 +7,9 @@ import random
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators import ranking as K
 from ..operators.encode import FeatureEncoder
+from ..operators.quality import union_all
 from ..operators.sampling import SEED
 from ..sources import runs as R
 from ..sources import workspace
@@ -139,8 +142,7 @@ def train(candidate: Candidate, encoder: FeatureEncoder, rows: DataFrame, params
     fitted = encoder.fit(rows)
     ready = with_weight(fitted.transform(rows), params.get("class_weight"))
     ready = ready.select("features", F.col("label").cast("double").alias("label"), "weight")
-    n, width = ready.count(), len(ready.select("features").first()[0])
-    estimator = candidate.build({**params, "n": n, "width": width})
+    estimator = candidate.build({**params, "n": ready.count(), "width": fitted.width()})
     return Trained(fitted, estimator.fit(ready), None, params)
 
 
@@ -161,19 +163,19 @@ def cross_validate(
 ) -> DataFrame:
     """Per fold: ap and p_at_3 on rows whose group the model has not seen.
 
-    Folds are fitted one after another, each fit being a distributed job of its own; the held-out
-    scores of all folds are then measured together, keyed by fold.
+    Each fit is a distributed job of its own and the folds' jobs are submitted side by side; the
+    held-out scores of all folds are then measured together, keyed by fold.
     """
     folded = K.with_fold(rows, group, n_folds)
-    parts = []
-    for fold in range(n_folds):
+
+    def held_out_scores(fold: int) -> DataFrame:
         outside, held_out = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
         trained = train(candidate, encoder, outside, params)
-        parts.append(trained.score(held_out).select(group, "label", "score", "fold", *_tie_inputs(rows, group)))
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
-    return metrics_of(workspace.cut(scored, "folds"), group, tie, by=["fold"])
+        return trained.score(held_out).select(group, "label", "score", "fold", *_tie_inputs(rows, group))
+
+    with ThreadPool(n_folds) as pool:
+        parts = pool.map(inheritable_thread_target(held_out_scores), range(n_folds))
+    return metrics_of(workspace.cut(union_all(parts), "folds"), group, tie, by=["fold"])
 
 
 def _tie_inputs(rows: DataFrame, group: str) -> list[str]:

@@ -174,7 +174,7 @@ def cross_validate(
         return trained.score(held_out).select(group, "label", "score", "fold", *_tie_inputs(rows, group))
 
     with ThreadPool(n_folds) as pool:
-        parts = pool.map(inheritable_thread_target(held_out_scores), range(n_folds))
+        parts = pool.map(inheritable_thread_target(rows.sparkSession)(held_out_scores), range(n_folds))
     return metrics_of(workspace.cut(union_all(parts), "folds"), group, tie, by=["fold"])
 
 

@@ -68,10 +68,13 @@ def _slots(requests: DataFrame, bucket: list[str], per_row: int, hash_of: Hash)
 def _draw(slots: DataFrame, pool: DataFrame, bucket: list[str], hash_of: Hash) -> DataFrame:
     """The candidate each slot points at; slots beyond the bucket's size have none.
 
-    `pool` carries the bucket, award_key, _number and _size.
+    `pool` carries the bucket, award_key, _number and _size, and is stored already.
     """
-    sizes = pool.filter("_number = 0").select(*bucket, "_size")
-    sized = slots.join(sizes, bucket) if bucket else slots.crossJoin(sizes)  # sizes is one row
+    if bucket:
+        sized = slots.join(pool.filter("_number = 0").select(*bucket, "_size"), bucket)
+    else:
+        size = pool.agg(F.max("_size")).first()[0]  # one bucket, one number
+        sized = slots.withColumn("_size", F.lit(size or 0).cast("long"))
     pointed = sized.filter(F.col("slot") < F.col("_size")).withColumn(
         "_number",
         F.pmod(hash_of(F.col("work_key")) + F.col("slot") * F.lit(STRIDE), F.col("_size")),

@@ -77,8 +77,8 @@ class Warehouse:
         ):
             history = f"slv_{name}_history"
             versions = read(self._new(self.raw(name), history))
-            self._stored(history).update(
-                versions, lambda cur, new, k=key: I.append_new(cur, new, k, "updated_at")
+            self._stored(history).append(
+                versions, lambda new, cur, k=key: I.unseen(new, cur, k, "updated_at")
             )
         self._update_state("slv_awards", "slv_awards_history", silver.award_state, "award_id")
         self._update_state("slv_works", "slv_works_history", silver.work_state, "work_id")

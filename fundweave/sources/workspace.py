@@ -31,9 +31,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def cut(df: DataFrame, name: str = "step") -> DataFrame:
+def cut(df: DataFrame, name: str = "step", staged: list[str] | None = None) -> DataFrame:
     """Writes `df` to the shared folder and reads it back: lineage is cut, and losing an executor
-    costs a re-read of files instead of a recomputation."""
+    costs a re-read of files instead of a recomputation. The path is added to `staged` for callers
+    that can tell when nobody reads it any more; other steps stay until the folder is cleaned."""
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
+    if staged is not None:
+        staged.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, staged: list[str]) -> None:
+    """Deletes steps whose result has been written elsewhere."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while staged:
+        path = jvm.org.apache.hadoop.fs.Path(staged.pop())
+        path.getFileSystem(conf).delete(path, True)

@@ -183,7 +183,10 @@ def rate(
     )
     count = F.greatest(F.size(col(grams)), F.lit(1))
     df = df.withColumn(total, F.floor(summed / count)).drop(grams)
-    kept = ~col(names["base_failed"]) & (col(total) >= threshold)
+    # Row numbers are not deterministic for the optimiser, so a later filter on the verdict stays above
+    # these projections; pushed down, it would repeat every array expression many times over.
+    held = F.monotonically_increasing_id() >= 0
+    kept = ~col(names["base_failed"]) & (col(total) >= threshold) & held
     return df.withColumns({names["score"]: col(total), names["kept"]: kept}).drop(total), names
 
 

@@ -59,9 +59,11 @@ WITH turns AS (
   SELECT *, length(role) + length(text)
       + length(regexp_replace(role || text, '[^\\]', '', 'g'))
       + (length(text) - length(replace(text, '</turn>', ''))) // 7
-      + coalesce(list_sum(list_transform(regexp_extract_all(text, '#{3,}'), x -> length(x) - 2)), 0)
+      + length(array_to_string(regexp_extract_all(text, '#{3,}'), ''))
+      - 2 * len(regexp_extract_all(text, '#{3,}'))
       + (length(role) - length(replace(role, '</turn>', ''))) // 7
-      + coalesce(list_sum(list_transform(regexp_extract_all(role, '#{3,}'), x -> length(x) - 2)), 0)
+      + length(array_to_string(regexp_extract_all(role, '#{3,}'), ''))
+      - 2 * len(regexp_extract_all(role, '#{3,}'))
       + (length(role) - length(replace(role, ':', '')))
       + length('### : </turn>') + 1 AS chars
   FROM turns

@@ -24,12 +24,12 @@ from __future__ import annotations
 import os
 import re
 import struct
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyarrow import fs as afs
 from pyspark import TaskContext
@@ -171,9 +171,12 @@ def _store(folder: str) -> tuple[afs.FileSystem, str]:
     return afs.LocalFileSystem(), folder
 
 
-#: A word of letters that lower-casing and composition leave one to one, and signs behind it: what
-#: the file's normaliser and pre-tokenizer do to it is known, so its model is asked directly.
-_SIMPLE = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!#$%&()*+,./:;<=>?@|-]*)")
+#: A stretch that is a word of letters which lower-casing and composition leave one to one, and signs
+#: behind it: what the file's normaliser and pre-tokenizer do to it is known, so its model is asked
+#: directly. One match per line, of three groups: word and signs, or any other stretch.
+_STRETCH = re.compile(
+    "^(?:([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!#$%&()*+,./:;<=>?@|-]*)|(.*))$", re.MULTILINE
+)
 
 
 class WordEncoder:
@@ -195,20 +198,23 @@ class WordEncoder:
         suffix = self.full.model.end_of_word_suffix
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith(suffix)]] = True
         self.kind = "<u2" if self.full.get_vocab_size() <= 1 << 16 else "<u4"
-        self.code = "H" if self.kind == "<u2" else "I"
-        self.chars = dict(enumerate(byte_characters()))
+        #: Printable characters for the bytes of letters; the blank stays, to split words at.
+        self.chars = {b: c for b, c in enumerate(byte_characters()) if b != 0x20}
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _ids(self, some: list[str]) -> list[bytes]:
         out = self.full.encode_batch_fast(some, add_special_tokens=False)
-        return [array(self.code, e.ids).tobytes() for e in out]
+        return [np.asarray(e.ids, self.kind).tobytes() for e in out]
 
     def _word_ids(self, some: list[str]) -> list[bytes]:
-        """Ids of words without blanks: one call for all, cut where an id ends a word."""
+        """Ids of lower-case words of letters: one call for all, cut where an id ends a word."""
         if not some:
             return []
-        ids = np.asarray(self.model.encode_batch_fast([" ".join(some)])[0].ids, self.kind)
+        text = " ".join(some)
+        if not text.isascii():
+            text = text.encode().decode("latin-1").translate(self.chars)
+        ids = np.asarray(self.model.encode_batch_fast([text])[0].ids, self.kind)
         cuts = [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()]
         if len(cuts) != len(some) + 1:
             raise ValueError("the file's pieces do not mark the ends of words")
@@ -216,39 +222,46 @@ class WordEncoder:
         return [data[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def _learn(self, new: list[str]) -> None:
-        """Remembers the ids of stretches: simple ones as word and signs, others as they are."""
-        simple, other, parts = [], [], set()
-        for x in new:
-            m = _SIMPLE.fullmatch(x)
-            # Marks of special tokens are the full tokenizer's business.
-            if m and "<" not in m[2]:
-                word = m[1].lower()
-                simple.append((x, word, m[2]))
-                parts.add(word)
-                parts.add(m[2])
-            else:
-                other.append(x)
-        words = self.words
+        """Remembers the ids of stretches (without line breaks): words and their signs apart, others
+        as they are."""
+        found = _STRETCH.findall("\n".join(new))
+        other = [x for x, f in zip(new, found) if not f[0]]
+        simple = [(x, f[1]) for x, f in zip(new, found) if f[0]]
+        lower = "\n".join([f[0] for f in found if f[0]]).lower().split("\n")
+        words, known = self.words, self.known
         if len(words) > REMEMBER:
             words.clear()
-        words[""] = b""
-        unknown = list(parts.difference(words))
-        mapped = [w if w.isascii() else w.encode().decode("latin-1").translate(self.chars) for w in unknown]
-        words.update(zip(unknown, self._word_ids(mapped)))
-        known = self.known
-        for x, word, signs in simple:
-            known[x] = words[word] + words[signs]
+        unknown = list(set(lower[: len(simple)]).difference(words))
+        words.update(zip(unknown, self._word_ids(unknown)))
+        unknown = [s for s in {s for _, s in simple}.difference(words) if s]
+        words.update(zip(unknown, self._ids(unknown)))
+        known.update((x, words[w] + words[s] if s else words[w]) for (x, s), w in zip(simple, lower))
         known.update(zip(other, self._ids(other)))
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and each text's number of ids. Arrow tells the
+        distinct stretches; each is looked up once."""
+        if len(self.known) > REMEMBER:
+            self.known.clear()
+        flat = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        lists = pc.split_pattern(flat, " ")
+        coded = lists.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
         known = self.known
-        if len(known) > REMEMBER:
-            known.clear()
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*parts).difference(known))
-        for i in range(0, len(new), 8192):
-            self._learn(new[i : i + 8192])
-        return [b"".join(map(known.__getitem__, p)) for p in parts]
+        new = [x for x in distinct if x not in known]
+        if new:
+            self._learn(new)
+        pieces = [known[x] for x in distinct]
+        width = np.dtype(self.kind).itemsize
+        ids = np.frombuffer(b"".join(pieces), self.kind)
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces)) // width
+        starts = np.cumsum(sizes) - sizes
+        at = np.asarray(coded.indices)
+        each = sizes[at]
+        ends = np.cumsum(each)
+        place = np.repeat(starts[at] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
+        bounds = np.r_[0, ends][np.asarray(pc.list_value_length(lists)).cumsum()]
+        return ids[place], np.diff(np.r_[0, bounds])
 
 
 @lru_cache(maxsize=2)
@@ -282,10 +295,13 @@ def write(
                 out = store.open_output_stream(f"{name}.bin.{attempt}")
             ids, copies, sizes = rows.column("doc_id").to_pylist(), [], []
             texts = rows.column("text")
-            for at in range(0, len(ids), 1000):
-                for data in encoder.encode(texts.slice(at, 1000).to_pylist()):
-                    out.write(data + end)
-                    sizes.append(len(data) // width + 1)
+            for at in range(0, len(ids), 2000):
+                flat, lengths = encoder.encode(texts.slice(at, 2000))
+                begin = 0
+                for n in lengths.tolist():
+                    out.write(flat[begin : begin + n].tobytes() + end)
+                    sizes.append(n + 1)
+                    begin += n
             for i in ids:
                 seen = (i, seen[1] + 1) if seen[0] == i else (i, 0)
                 copies.append(seen[1])

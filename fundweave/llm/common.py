@@ -72,12 +72,32 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(folds))
 
 
+#: Hash ranges that a sample's cut is looked for in.
+RANGES = 4096
+
+
 def class_sample(rows: DataFrame, key: str, klass: str, per_class: int) -> DataFrame:
     """(key, class) of at most `per_class` rows of each class, in the order of a hash of the key.
-    Only the two columns are read; each map task forwards at most `per_class` rows of a class."""
-    order = [F.xxhash64(col(key)), col(key)]
-    picked = rows.select(col(key), col(klass)).filter(col(key).isNotNull() & col(klass).isNotNull())
-    return top_k(picked, [klass], order, per_class)
+
+    Rows are counted by class and hash range first, so that the ranking sees little more than the
+    rows it takes, however large a class or the number of tasks is. Only the two columns are read."""
+    keyed = rows.select(col(key).alias("key"), col(klass).alias("class")).filter(
+        "key IS NOT NULL AND class IS NOT NULL"
+    )
+    keyed = keyed.withColumn("h", F.xxhash64("key"))
+    ranged = keyed.withColumn("range", F.floor(F.col("h") / (2.0**64 / RANGES)))
+    counts = ranged.groupBy("class", "range").count()
+    upto = Window.partitionBy("class").orderBy("range")
+    before = F.sum("count").over(upto) - F.col("count")
+    cuts = (
+        counts.withColumn("before", before)
+        .filter(F.col("before") < per_class)
+        .groupBy(F.col("class").alias("c"))
+        .agg(F.max("range").alias("last"))
+    )
+    few = ranged.join(cuts, (F.col("class") == F.col("c")) & (F.col("range") <= F.col("last")))
+    picked = top_k(few, ["class"], [F.col("h"), F.col("key")], per_class)
+    return picked.select(F.col("key").alias(key), F.col("class").alias(klass))
 
 
 def only_rows(

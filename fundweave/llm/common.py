@@ -95,7 +95,9 @@ def class_sample(rows: DataFrame, key: str, klass: str, per_class: int) -> DataF
         .groupBy(F.col("class").alias("c"))
         .agg(F.max("range").alias("last"))
     )
-    few = ranged.join(cuts, (F.col("class") == F.col("c")) & (F.col("range") <= F.col("last")))
+    # One row per class is broadcast; dealing the rows out by class would put a class into one task.
+    below = (F.col("class") == F.col("c")) & (F.col("range") <= F.col("last"))
+    few = ranged.join(F.broadcast(cuts), below)
     picked = top_k(few, ["class"], [F.col("h"), F.col("key")], per_class)
     return picked.select(F.col("key").alias(key), F.col("class").alias(klass))
 

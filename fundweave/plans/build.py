@@ -1,7 +1,7 @@
 """The whole flow, run after run: raw files -> cleaned tables -> star -> wide table.
 
-Every table is kept up to date from its own high-water mark, so a run that stopped halfway is
-continued by the next one, and a run without new files changes nothing. Beyond a plain
+For every table it is noted how far it has read each of its sources, after an update is whole; so a
+run that stopped halfway is built again by the next one, and a run without new files changes nothing. Beyond a plain
 "newer than the mark" filter three cases are looked after, so that loading in steps ends in the
 same tables as loading everything at once: a publication whose new version lost all its children,
 a link whose award arrives later, and a row whose unknown member becomes known.
@@ -15,10 +15,12 @@ from pyspark.sql import types as T
 
 from ..operators import incremental as I
 from ..operators.lookup import UNKNOWN
-from ..sources.tables import KeyedTable, SnapshotStore
+from ..operators.quality import ValidationError
+from ..sources.tables import KeyedTable, SnapshotStore, append_by_name
 from ..streaming import raw_load
 from . import gold, reports, silver, suite
 
+MARKS_SCHEMA = "target string, source string, mark timestamp"
 RAW_TABLES = ("awards", "works", "funders", "topics")
 
 
@@ -27,6 +29,7 @@ class Warehouse:
         """`strict_reference` keeps the children of a publication whose new version has none."""
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
         self.strict = strict_reference
+        self._reached: dict[str, dict[str, object]] = {}
         self.store = SnapshotStore(spark, f"{self.root}/snapshots")
 
     # -- storage
@@ -53,12 +56,32 @@ class Warehouse:
     def _stored(self, name: str) -> KeyedTable:
         return self.keyed(name, self.KEYS[name])
 
-    def _mark(self, name: str):
-        stored = self._stored(name)
-        return I.high_water(stored.read()) if stored.exists() else I.EPOCH_MARK
-
-    def _new(self, source: DataFrame, target: str) -> DataFrame:
-        return I.newer_than(source, self._mark(target))
+    # -- marks: how far each target has read each of its sources
+    def _marks(self) -> DataFrame | None:
+        path = f"{self.root}/marks"
+        jvm = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        if not jvm.getFileSystem(conf).exists(jvm):
+            return None
+        return self.spark.read.schema(MARKS_SCHEMA).parquet(path)
+
+    def _mark(self, target: str, source: str):
+        marks = self._marks()
+        if marks is None:
+            return I.EPOCH_MARK
+        return I.high_water(marks.filter((F.col("target") == target) & (F.col("source") == source)), "mark")
+
+    def _new(self, source: DataFrame, target: str, name: str) -> DataFrame:
+        """Rows of `source` (called `name`) that `target` has not taken in. How far that reaches is
+        noted by `_done`, after the whole update: one that is cut short is built again."""
+        self._reached.setdefault(target, {})[name] = I.high_water(source)
+        return I.newer_than(source, self._mark(target, name))
+
+    def _done(self, target: str) -> None:
+        reached = self._reached.pop(target, {})
+        if reached:
+            rows = [(target, name, mark) for name, mark in reached.items()]
+            append_by_name(self.spark.createDataFrame(rows, MARKS_SCHEMA), f"{self.root}/marks", MARKS_SCHEMA)
 
     # -- steps
     def load(self, sources: dict[str, tuple[str, T.StructType]]) -> None:
@@ -76,32 +99,36 @@ class Warehouse:
             ("works", "work_id", lambda raw: silver.work_history(raw, as_of)),
         ):
             history = f"slv_{name}_history"
-            versions = read(self._new(self.raw(name), history))
+            versions = read(self._new(self.raw(name), history, name))
             self._stored(history).append(
                 versions, lambda new, cur, k=key: I.unseen(new, cur, k, "updated_at")
             )
+            self._done(history)
         self._update_state("slv_awards", "slv_awards_history", silver.award_state, "award_id")
         self._update_state("slv_works", "slv_works_history", silver.work_state, "work_id")
         for name, read in (
             ("slv_work_authorships", silver.work_authorships), ("slv_work_awards", silver.work_awards)
         ):
-            works = self._new(self.table("slv_works"), name)
+            works = self._new(self.table("slv_works"), name, "slv_works")
             self._replace_children(name, read(works), works.select("work_id"), "work_id")
 
     def _update_state(self, name: str, history: str, latest, key: str) -> None:
-        changed = latest(self._new(self.table(history), name))
+        changed = latest(self._new(self.table(history), name, history))
         self._stored(name).update(
             changed, lambda cur, new: I.merge_newer(cur, new, key, "updated_at")
         )
+        self._done(name)
 
     def _replace_children(self, name: str, children: DataFrame, parents: DataFrame, key: str) -> None:
         touched = None if self.strict else parents.distinct()
         self._stored(name).update(
             children, lambda cur, new: I.replace_children(cur, new, key, touched), touched
         )
+        self._done(name)
 
     def _replace(self, name: str, rows: DataFrame) -> None:
         self._stored(name).update(rows, lambda cur, new: I.replace_rows(cur, new, self.KEYS[name]))
+        self._done(name)
 
     def model(self) -> None:
         overwrite = self.store.overwrite
@@ -111,14 +138,14 @@ class Warehouse:
 
         awards, works = self.table("slv_awards"), self.table("slv_works")
         first_run = not self._stored("dim_institution").exists()
-        self._replace("dim_institution", gold.dim_institution(self._new(awards, "dim_institution"), first_run))
-        self._replace("dim_award", gold.dim_award(self._new(awards, "dim_award")))
+        self._replace("dim_institution", gold.dim_institution(self._new(awards, "dim_institution", "slv_awards"), first_run))
+        self._replace("dim_award", gold.dim_award(self._new(awards, "dim_award", "slv_awards")))
         self._model_works(works, topic)
         authorships = self.table("slv_work_authorships")
-        self._replace("dim_author", gold.dim_author(self._new(authorships, "dim_author")))
+        self._replace("dim_author", gold.dim_author(self._new(authorships, "dim_author", "slv_work_authorships")))
         self._model_facts(awards, funder, topic)
 
-        fresh = self._new(works, "brg_work_author").select(F.col("work_id").alias("work_key"))
+        fresh = self._new(works, "brg_work_author", "slv_works").select(F.col("work_id").alias("work_key"))
         links = gold.bridge(authorships, fresh, self.table("dim_author"))
         self._replace_children("brg_work_author", links, fresh, "work_key")
         self._model_links(works)
@@ -141,7 +168,7 @@ class Warehouse:
     def _model_works(self, works: DataFrame, topic: DataFrame) -> None:
         build = lambda rows: gold.dim_work(rows, topic)
         known_before = self._stored("dim_work").exists()
-        self._replace("dim_work", build(self._new(works, "dim_work")))
+        self._replace("dim_work", build(self._new(works, "dim_work", "slv_works")))
         if known_before:
             self._replace("dim_work", self._resolvable("dim_work", ["topic_key"], works, build))
 
@@ -149,23 +176,40 @@ class Warehouse:
         dims = (self.table("dim_award"), funder, topic, self.table("dim_institution"))
         build = lambda rows: gold.fact_awards(rows, *dims)
         known_before = self._stored("fact_awards").exists()
-        self._replace("fact_awards", build(self._new(awards, "fact_awards")))
+        self._replace("fact_awards", build(self._new(awards, "fact_awards", "slv_awards")))
         if known_before:
             keys = ["funder_key", "topic_key", "institution_key"]
             self._replace("fact_awards", self._resolvable("fact_awards", keys, awards, build))
 
     def _model_links(self, works: DataFrame) -> None:
-        mark = self._mark("fact_award_works")
+        name = "fact_award_works"
         links, facts = self.table("slv_work_awards"), self.table("fact_awards")
-        arrived = I.newer_than(facts, mark).select(F.col("award_key").alias("award_id"))
+        arrived = self._new(facts, name, "fact_awards").select(F.col("award_key").alias("award_id"))
         late = links.join(arrived, "award_id", "left_semi").select("work_id")
-        touched = I.newer_than(works, mark).select("work_id").unionByName(late).distinct()
+        touched = self._new(works, name, "slv_works").select("work_id").unionByName(late)
+        if self._stored(name).exists():
+            touched = touched.unionByName(self._resolved_links(facts))
+        touched = touched.distinct()
         affected = links.join(touched, "work_id", "left_semi")
         rows = gold.fact_award_works(affected, self.table("dim_work"), facts)
         self._replace_children(
             "fact_award_works", rows, touched.withColumnRenamed("work_id", "work_key"), "work_key"
         )
 
+    def _resolved_links(self, facts: DataFrame) -> DataFrame:
+        """Works of stored links with an unknown member that their work or award knows by now."""
+        members = ["topic_key", "funder_key"]
+        old = self.table("fact_award_works").filter(
+            (F.col("topic_key") == UNKNOWN) | (F.col("funder_key") == UNKNOWN)
+        ).select("award_key", "work_key", *members)
+        topics = self.table("dim_work").select("work_key", F.col("topic_key").alias("topic_now"))
+        funders = facts.select("award_key", F.col("funder_key").alias("funder_now"))
+        now = old.join(topics, "work_key", "left").join(funders, "award_key", "left")
+        known = lambda had, has: (F.col(had) == UNKNOWN) & (F.col(has) != UNKNOWN)
+        return now.filter(
+            known("topic_key", "topic_now") | known("funder_key", "funder_now")
+        ).select(F.col("work_key").alias("work_id"))
+
     def check(self, as_of: Column | None = None) -> DataFrame:
         tables = {name: self.table(name) for name in (*self.KEYS, *self.SNAPSHOTS)}
         return suite.run(tables, {**suite.cleaned_checks(tables, as_of), **suite.star_checks(tables)})
@@ -179,8 +223,13 @@ class Warehouse:
         return reports.run_obt(self.star(), self.store, table, f"{self.root}/{table}_validation")
 
     def run(self, sources: dict[str, tuple[str, T.StructType]], as_of: Column | None = None) -> DataFrame:
-        """One scheduled run; returns its validation row."""
+        """One scheduled run; returns its validation row, or raises what the row, logged by then,
+        says went wrong."""
         self.load(sources)
         self.clean(as_of)
         self.model()
-        return self.flatten()
+        row = self.flatten()
+        found = row.first()
+        if found.status != "OK":
+            raise ValidationError(found.error)
+        return row

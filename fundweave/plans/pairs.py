@@ -113,7 +113,7 @@ def contract(pairs: DataFrame, years: tuple[int, int] = TRAIN_YEARS) -> DataFram
     per_pair = pairs.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("copies"),
         F.sum("label").alias("label_sum"),
-        F.min(F.col("label").isin(0, 1)).alias("binary"),
+        F.min(F.coalesce(F.col("label").isin(0, 1), F.lit(False))).alias("binary"),
         F.min(F.col("publication_year").between(*years)).alias("in_years"),
     )
     per_group = per_pair.groupBy("work_key").agg(

@@ -49,7 +49,7 @@ def log_run(
     run_id = uuid.uuid4().hex
     row = (
         run_id, name, phase, family, commit, parent, started or datetime.now(timezone.utc), "FINISHED",
-        {k: str(v)[:250] for k, v in params.items()},
+        {k: str(v) for k, v in params.items()},
         {k: float(v) for k, v in metrics.items() if v is not None},
     )
     append_by_name(spark.createDataFrame([row], RUNS_SCHEMA), path, RUNS_SCHEMA)

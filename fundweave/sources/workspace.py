@@ -18,10 +18,10 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-    folder = _LOCAL.setdefault(
-        spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="fundweave-")
-    )
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="fundweave-")
+    return _LOCAL[app]
 
 
 _LOCAL: dict[str, str] = {}

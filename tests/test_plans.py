@@ -231,3 +231,51 @@ def test_loading_in_steps_equals_loading_at_once(spark):
     assert before == {name: contents(stepwise, name) for name in before}
     report = stepwise.check(F.lit("2024-06-30").cast("date"))
     assert [r for r in report.filter("failures > 0 AND severity = 'error'").collect()] == []
+
+
+def test_interrupted_update_is_built_again(spark, monkeypatch):
+    """An update that stops after half of its partitions were swapped leaves its mark where it was."""
+    house = build.Warehouse(spark, workspace.new_folder(spark, "house"), buckets=4)
+    source = spark.range(60).select(
+        F.col("id").cast("string").alias("award_key"),
+        F.lit(1).alias("amount"),
+        F.timestamp_seconds(F.lit(100)).alias("_loaded_at"),
+    )
+    later = source.withColumns({"amount": F.lit(2), "_loaded_at": F.timestamp_seconds(F.lit(200))})
+    house._replace("dim_award", house._new(source, "dim_award", "src"))
+    table = house._stored("dim_award")
+    whole = KeyedTable._write
+
+    def half(self, df):
+        whole(self, df.filter("_bucket < 2"))
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(KeyedTable, "_write", half)
+    with pytest.raises(RuntimeError):
+        house._replace("dim_award", house._new(later, "dim_award", "src"))
+    monkeypatch.setattr(KeyedTable, "_write", whole)
+    assert table.read().groupBy("amount").count().count() == 2
+    house._replace("dim_award", house._new(later, "dim_award", "src"))
+    assert [tuple(r) for r in table.read().groupBy("amount").count().collect()] == [(2, 60)]
+    assert house._new(later, "dim_award", "src").count() == 0
+
+
+def test_keyed_table_without_rows_reads_and_grows(spark):
+    table = KeyedTable(spark, workspace.new_folder(spark, "keyed"), "k", buckets=4)
+    none = spark.createDataFrame([], "k bigint, v string")
+    table.update(none, lambda cur, new: new)
+    assert table.read().count() == 0 and table.read().columns == ["k", "v"]
+    wide = spark.createDataFrame([(1, "a", 5)], "k bigint, v string, w int")
+    table.update(wide, lambda cur, new: cur.unionByName(new, allowMissingColumns=True))
+    assert [tuple(r) for r in table.read().collect()] == [(1, "a", 5)]
+
+
+def test_null_label_breaks_the_pair_contract(spark):
+    from fundweave.plans import pairs
+
+    rows = [("a", "w", 1), ("b", "w", 0), ("c", "w", None)]
+    df = spark.createDataFrame(rows, "award_key string, work_key string, label int")
+    for c in pairs.TEXT_COLUMNS:
+        df = df.withColumn(c, F.lit("t"))
+    df = df.withColumn("publication_year", F.lit(pairs.TRAIN_YEARS[0]))
+    assert not pairs.contract(df).first()["labels_binary"]

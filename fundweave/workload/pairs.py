@@ -186,24 +186,16 @@ def hard_negatives(spark, sf):
 
 
 # ---------------------------------------------------------------- reading the wide table back
-LONG_TEXTS = ["award_description", "abstract_text", "award_text", "work_text"]
-NOT_IN_CSV = [*LONG_TEXTS, "_obt_built_at"]
-
-
-def wide_without_texts(spark, sf):
-    return obt.published(obt.flatten(star.star(spark, sf))).drop(*NOT_IN_CSV)
-
-
 @query(
     "obt_csv_split",
     star.gold_oracle("""
-SELECT 'award' AS side, award_key AS entity_key, award_title AS title, funder_name AS detail, CAST(amount AS DOUBLE) AS n, count(*) AS links
+SELECT 'award' AS side, award_key AS entity_key, award_title AS title, funder_name AS detail, CAST(amount AS DOUBLE) AS n, md5(award_description) AS text_md5, count(*) AS links
 FROM {obt} GROUP BY ALL
-UNION ALL SELECT 'work', work_key, work_title, author_country_codes, CAST(cited_by_count AS DOUBLE), count(*) FROM {obt} GROUP BY ALL"""),
+UNION ALL SELECT 'work', work_key, work_title, author_country_codes, CAST(cited_by_count AS DOUBLE), md5(abstract_text), count(*) FROM {obt} GROUP BY ALL"""),
 )
 def obt_csv_split(spark, sf):
     """Wide table out as CSV, in again under its schema, cut into its two sides by column range."""
-    wide = wide_without_texts(spark, sf)
+    wide = obt.published(obt.flatten(star.star(spark, sf))).drop("_obt_built_at")
     lists = [f.name for f in wide.schema if f.dataType.typeName() == "array"]
     flat = wide.withColumns({c: F.array_join(c, "|") for c in lists})
     path = workspace.new_folder(spark, "wide-csv")
@@ -211,13 +203,13 @@ def obt_csv_split(spark, sf):
     back = read_wide_csv(spark, path, flat.schema)
     awards = back.select("award_key", *columns_between(back.columns, *P.AWARD_SPAN))
     works = back.select("work_key", *columns_between(back.columns, *P.WORK_SPAN))
-    side = lambda df, name, key, title, detail, n: df.groupBy(
+    side = lambda df, name, key, title, detail, n, text: df.groupBy(
         F.lit(name).alias("side"), F.col(key).alias("entity_key"), F.col(title).alias("title"),
-        F.col(detail).alias("detail"), F.col(n).cast("double").alias("n"),
+        F.col(detail).alias("detail"), F.col(n).cast("double").alias("n"), F.md5(text).alias("text_md5"),
     ).agg(F.count(F.lit(1)).alias("links"))
     codes = works.withColumn("codes", F.coalesce("author_country_codes", F.lit("")))
-    return side(awards, "award", "award_key", "award_title", "funder_name", "amount").unionByName(
-        side(codes, "work", "work_key", "work_title", "codes", "cited_by_count")
+    return side(awards, "award", "award_key", "award_title", "funder_name", "amount", "award_description").unionByName(
+        side(codes, "work", "work_key", "work_title", "codes", "cited_by_count", "abstract_text")
     )
 
 

@@ -87,8 +87,3 @@ def json_list_contains(json_list: Column, value: Column) -> Column:
     """
     quoted = F.concat(F.lit('"'), blank_to_null(value), F.lit('"'))
     return F.coalesce(F.contains(json_list, quoted).cast("double"), F.lit(0.0))
-
-
-def list_contains(items: Column, value: Column) -> Column:
-    """Same membership flag for a column that already is an ARRAY<STRING>."""
-    return F.coalesce(F.array_contains(items, blank_to_null(value)).cast("double"), F.lit(0.0))

@@ -84,14 +84,3 @@ def replace_children(
     touched = children.select(parent) if changed_parents is None else changed_parents.select(parent)
     kept = current.join(touched.distinct(), parent, "left_anti")
     return union_by_name(kept, children)
-
-
-def late_links(
-    source: DataFrame, loaded: DataFrame, mark: datetime, parent_key: str, parents: DataFrame
-) -> DataFrame:
-    """Links to process again: newly loaded ones plus those whose other end was loaded since `mark`."""
-    fresh_parents = newer_than(parents, mark).select(parent_key).distinct()
-    is_new = F.col("_loaded_at") > F.lit(mark)
-    arrived = source.filter(~is_new).join(fresh_parents, parent_key, "left_semi")
-    return loaded.unionByName(arrived)
-

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..sources import workspace
+
 
 def newest_first(*columns: str) -> list[Column]:
     return [F.desc_nulls_last(c) for c in columns]
@@ -83,18 +85,16 @@ def rank_in_group(
     return running_totals(df, group, block, order, one, {size: name} if size else None)
 
 
-def value_blocks(df: DataFrame, column: str, blocks: int = 32) -> Column:
-    """Block number of a numeric column: how many of its approximate quantiles it reaches.
+def ordered_blocks(df: DataFrame, order: Sequence[Column], block: str = "_block") -> DataFrame:
+    """Stages `df` range-partitioned under `order` and adds each row's partition as its block.
 
-    An action over one column; `blocks` numbers come back. Blocks only steer how the work is
-    spread, so approximate bounds cost no exactness.
+    Spark samples the bounds and AQE merges small neighbours, so the number of blocks follows the
+    size of the data and their bounds follow every column of the order. Rows should be distinct
+    under `order`; then no value is large enough to fill a block by itself. Staging fixes the blocks
+    for all later passes.
     """
-    steps = [i / blocks for i in range(1, blocks)]
-    bounds = sorted(set(df.approxQuantile(column, steps, 0.01)))
-    if not bounds:
-        return F.lit(0)
-    reached = F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col(column))
-    return F.size(reached)
+    dealt = df.repartitionByRange(*order).withColumn(block, F.spark_partition_id())
+    return workspace.cut(dealt, "blocks")
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], steps: Sequence[float]) -> DataFrame:
@@ -106,7 +106,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], steps: Sequence[float]) ->
     named = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns]))
     values = df.select(named.alias("_v")).select("_v.name", "_v.value").filter("value IS NOT NULL")
     counts = values.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    blocked = counts.withColumn("_block", value_blocks(counts, "value"))
+    blocked = ordered_blocks(counts, [F.col("name"), F.col("value")])
     ranked = running_totals(
         blocked, ["name"], "_block", [F.col("value")], {"upto": F.col("n")}, {"total": "upto"}
     )

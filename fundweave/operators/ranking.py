@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import running_totals, top_k, value_blocks
+from .ordering import ordered_blocks, running_totals, top_k
 from .sampling import SEED
 
 # Size of a recommendation and number of folds.
@@ -20,13 +20,13 @@ def average_precision(
 ) -> DataFrame:
     """Sum over distinct scores, best first, of the recall each adds times the precision there.
 
-    Rows are reduced to distinct scores before anything is ordered. One row per `by` group; NULL
+    Rows are reduced to distinct scores, which are staged, before anything is ordered. One row per `by` group; NULL
     when a group has no positives.
     """
     per_score = scored.groupBy(*by, score).agg(
         F.sum(F.col(label).cast("long")).alias("_tp"), F.count(F.lit(1)).alias("_n")
     )
-    blocked = per_score.withColumn("_block", -value_blocks(per_score, score))
+    blocked = ordered_blocks(per_score, [*[F.col(c) for c in by], F.desc(score)])
     upto = running_totals(
         blocked, list(by), "_block", [F.desc(score)], {"_ctp": F.col("_tp"), "_cn": F.col("_n")}
     )

@@ -25,7 +25,8 @@ NEGATIVES_PER_POSITIVE = 4
 SEED = 42
 
 STRIDE = 2_147_483_647  # prime and larger than any bucket, so it shares no factor with its size
-NUMBER_BLOCKS = 64
+MIN_BLOCKS = 64
+BLOCK_ROWS = 1_000_000  # rows of one bucket that a task numbers at a time
 SLOT_BLOCK = 65_536
 
 Hash = Callable[[Column], Column]
@@ -45,9 +46,15 @@ def shuffled(df: DataFrame, *keys: str, seed: int = SEED) -> DataFrame:
     return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
 
 
+def _blocks(df: DataFrame) -> int:
+    """Hash blocks a bucket is cut into: enough for a bucket that holds every row. One number comes back."""
+    return max(MIN_BLOCKS, df.count() // BLOCK_ROWS)
+
+
 def numbered(df: DataFrame, bucket: list[str], key: str, hash_of: Hash) -> DataFrame:
     """Adds `_number` (from 0, in hash order within the bucket) and `_size` of the bucket."""
-    hashed = df.withColumn("_h", hash_of(F.col(key))).withColumn("_b", F.pmod("_h", F.lit(NUMBER_BLOCKS)))
+    df = cut(df, "to_number")
+    hashed = df.withColumn("_h", hash_of(F.col(key))).withColumn("_b", F.pmod("_h", F.lit(_blocks(df))))
     ranked = rank_in_group(hashed, bucket, "_b", [F.col("_h"), F.col(key)], "_number", "_size")
     return ranked.withColumn("_number", F.col("_number") - 1).drop("_h", "_b")
 
@@ -56,7 +63,7 @@ def _slots(requests: DataFrame, bucket: list[str], per_row: int, hash_of: Hash)
     """`per_row` slots for every positive, numbered through per (work, bucket): column `slot`."""
     group = list(dict.fromkeys(["work_key", *bucket]))
     hashed = requests.withColumn("_h", hash_of(F.col("award_key"))).withColumn(
-        "_b", F.pmod("_h", F.lit(NUMBER_BLOCKS))
+        "_b", F.pmod("_h", F.lit(_blocks(requests)))
     )
     placed = rank_in_group(hashed, group, "_b", [F.col("_h"), F.col("award_key")], "_turn")
     offsets = F.explode(F.sequence(F.lit(0), F.lit(per_row - 1)))

@@ -9,13 +9,15 @@ a link whose award arrives later, and a row whose unknown member becomes known.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import incremental as I
+from ..operators import quality as K
 from ..operators.lookup import UNKNOWN
-from ..operators.quality import ValidationError
 from ..sources.tables import KeyedTable, SnapshotStore, append_by_name
 from ..streaming import raw_load
 from . import gold, reports, silver, suite
@@ -84,11 +86,28 @@ class Warehouse:
             append_by_name(self.spark.createDataFrame(rows, MARKS_SCHEMA), f"{self.root}/marks", MARKS_SCHEMA)
 
     # -- steps
-    def load(self, sources: dict[str, tuple[str, T.StructType]]) -> None:
-        """sources: raw table -> (folder of record files, their schema)."""
+    def plan(self, name: str, snapshot: str, initial_days: int, max_days: int) -> list[str]:
+        """Update partitions of a raw table to load next; one row comes back."""
+        path = f"{self.root}/raw/{name}"
+        jvm = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        there = jvm.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(jvm)
+        loaded = self.raw(name) if there else self.spark.createDataFrame([], raw_load.RAW_SCHEMA)
+        days = raw_load.plan_partitions(loaded, snapshot, initial_days, max_days).first()["dates"]
+        return days.split("|") if days else []
+
+    def load(
+        self,
+        sources: dict[str, tuple[str, T.StructType]],
+        days: Mapping[str, Sequence[str]] | None = None,
+        files_per_day: int | None = None,
+    ) -> None:
+        """sources: raw table -> (folder of record files, their schema); days: raw table -> the update
+        partitions planned for it. Tables without a plan load all new files."""
         for name, (folder, schema) in sources.items():
+            planned = (days or {}).get(name)
             raw_load.load_new_files(
-                self.spark, folder, f"{self.root}/raw/{name}", f"{self.root}/progress/{name}", schema
+                self.spark, folder, f"{self.root}/raw/{name}", f"{self.root}/progress/{name}", schema,
+                planned, None if planned is None else files_per_day,
             )
 
     def clean(self, as_of: Column | None = None) -> None:
@@ -210,9 +229,22 @@ class Warehouse:
             known("topic_key", "topic_now") | known("funder_key", "funder_now")
         ).select(F.col("work_key").alias("work_id"))
 
-    def check(self, as_of: Column | None = None) -> DataFrame:
-        tables = {name: self.table(name) for name in (*self.KEYS, *self.SNAPSHOTS)}
-        return suite.run(tables, {**suite.cleaned_checks(tables, as_of), **suite.star_checks(tables)})
+    CLEANED = ("slv_awards_history", "slv_works_history", "slv_awards", "slv_works", "slv_work_authorships",
+               "slv_work_awards", "slv_funders", "slv_topics")
+
+    def check(self, as_of: Column | None = None, layers: Sequence[str] = ("raw", "cleaned", "star")) -> DataFrame:
+        """Report of the constraints of the named layers. A star's references are within the star."""
+        names = [n for n in (*self.KEYS, *self.SNAPSHOTS) if layers != ("raw",) and ("star" in layers or n in self.CLEANED)]
+        tables = {name: self.table(name) for name in names}
+        checks: dict[str, list] = {}
+        if "raw" in layers:
+            tables |= {f"raw_{name}": self.raw(name) for name in RAW_TABLES}
+            checks |= suite.raw_checks()
+        if "cleaned" in layers:
+            checks |= suite.cleaned_checks(tables, as_of)
+        if "star" in layers:
+            checks |= suite.star_checks(tables)
+        return suite.run(tables, checks)
 
     def star(self) -> dict[str, DataFrame]:
         names = ("dim_date", "dim_topic", "dim_funder", "dim_institution", "dim_award", "dim_work",
@@ -222,14 +254,19 @@ class Warehouse:
     def flatten(self, table: str = "obt_award_work") -> DataFrame:
         return reports.run_obt(self.star(), self.store, table, f"{self.root}/{table}_validation")
 
-    def run(self, sources: dict[str, tuple[str, T.StructType]], as_of: Column | None = None) -> DataFrame:
-        """One scheduled run; returns its validation row, or raises what the row, logged by then,
-        says went wrong."""
-        self.load(sources)
+    def run(
+        self,
+        sources: dict[str, tuple[str, T.StructType]],
+        as_of: Column | None = None,
+        days: Mapping[str, Sequence[str]] | None = None,
+        files_per_day: int | None = None,
+    ) -> DataFrame:
+        """One scheduled run; returns its row of evidence. Each layer's constraints are enforced before
+        the next one is built: an error-level failure raises and nothing after it runs."""
+        self.load(sources, days, files_per_day)
+        K.enforce(self.check(as_of, ("raw",)))
         self.clean(as_of)
+        K.enforce(self.check(as_of, ("cleaned",)))
         self.model()
-        row = self.flatten()
-        found = row.first()
-        if found.status != "OK":
-            raise ValidationError(found.error)
-        return row
+        K.enforce(self.check(as_of, ("star",)))
+        return self.flatten()

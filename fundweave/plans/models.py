@@ -126,6 +126,7 @@ class Trained:
     model: object | None
     scorer: Column | None
     params: Mapping
+    seconds: float = 0.0
 
     def score(self, rows: DataFrame) -> DataFrame:
         """The rows plus `score`."""
@@ -136,14 +137,14 @@ class Trained:
 
 
 def train(candidate: Candidate, encoder: FeatureEncoder, rows: DataFrame, params: Mapping | None = None) -> Trained:
-    params = {**candidate.params, **(params or {})}
+    params, began = {**candidate.params, **(params or {})}, time.perf_counter()
     if candidate.build is None:
-        return Trained(None, None, candidate.score(rows), params)
+        return Trained(None, None, candidate.score(rows), params, time.perf_counter() - began)
     fitted = encoder.fit(rows)
     ready = with_weight(fitted.transform(rows), params.get("class_weight"))
     ready = ready.select("features", F.col("label").cast("double").alias("label"), "weight")
     estimator = candidate.build({**params, "n": ready.count(), "width": fitted.width()})
-    return Trained(fitted, estimator.fit(ready), None, params)
+    return Trained(fitted, estimator.fit(ready), None, params, time.perf_counter() - began)
 
 
 def metrics_of(scored: DataFrame, group: str, tie: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
@@ -152,6 +153,15 @@ def metrics_of(scored: DataFrame, group: str, tie: Sequence[Column], by: Sequenc
     return ap.join(p, list(by)) if by else ap.crossJoin(p)  # one row each
 
 
+#: Stands for "the rows the final model was fitted on" where sets of rows are told apart by fold.
+TRAINING = -1
+
+
+def _scored(trained: Trained, rows: DataFrame, group: str, fold: int) -> DataFrame:
+    kept = [c for c in ("award_key", "doc_id") if c in rows.columns and c != group]
+    return trained.score(rows).select(group, "label", "score", F.lit(fold).alias("fold"), *kept)
+
+
 def cross_validate(
     candidate: Candidate,
     encoder: FeatureEncoder,
@@ -160,33 +170,48 @@ def cross_validate(
     tie: Sequence[Column],
     params: Mapping | None = None,
     n_folds: int = K.N_FOLDS,
+    final: Trained | None = None,
+    hash_of=None,
 ) -> DataFrame:
-    """Per fold: ap and p_at_3 on rows whose group the model has not seen.
+    """Per fold: ap and p_at_3 on rows whose group the model has not seen; with a `final` model also
+    those of the rows it was fitted on, as fold TRAINING.
 
     Each fit is a distributed job of its own and the folds' jobs are submitted side by side; the
-    held-out scores of all folds are then measured together, keyed by fold.
+    scores of all sets are then measured together, keyed by fold. A fold without rows has no line,
+    and one without positives no ap: `summary_of` says how many folds it is about.
     """
-    folded = K.with_fold(rows, group, n_folds)
+    folded = K.with_fold(rows, group, n_folds, hash_of)
 
-    def held_out_scores(fold: int) -> DataFrame:
-        outside, held_out = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
-        trained = train(candidate, encoder, outside, params)
-        return trained.score(held_out).select(group, "label", "score", "fold", *_tie_inputs(rows, group))
+    def held_out(fold: int) -> DataFrame:
+        outside, inside = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+        return _scored(train(candidate, encoder, outside, params), inside, group, fold)
 
     with ThreadPool(n_folds) as pool:
-        parts = pool.map(inheritable_thread_target(rows.sparkSession)(held_out_scores), range(n_folds))
+        parts = pool.map(inheritable_thread_target(rows.sparkSession)(held_out), range(n_folds))
+    if final is not None:
+        parts.append(_scored(final, rows, group, TRAINING))
     return metrics_of(workspace.cut(union_all(parts), "folds"), group, tie, by=["fold"])
 
 
-def _tie_inputs(rows: DataFrame, group: str) -> list[str]:
-    return [c for c in ("award_key", "doc_id") if c in rows.columns and c != group]
+def summary_of(sets: DataFrame) -> DataFrame:
+    """One row: mean and sample deviation over held-out folds, the number of folds with an ap, and
+    where the training rows were measured too, their metrics and the gap to the folds' mean."""
+    inside = lambda m: F.when(F.col("fold") != TRAINING, F.col(m))
+    on_train = lambda m: F.max(F.when(F.col("fold") == TRAINING, F.col(m)))
+    one = sets.agg(
+        *[F.avg(inside(m)).alias(f"cv_{m}_mean") for m in R.MEASURED],
+        *[F.stddev_samp(inside(m)).alias(f"cv_{m}_std") for m in R.MEASURED],
+        F.count(inside("ap")).alias("cv_folds"),
+        *[on_train(m).alias(f"train_{m}") for m in R.MEASURED],
+    )
+    return one.select("*", *[R.gap(m, F.col) for m in R.MEASURED])
 
 
-def summary_of(folds: DataFrame) -> DataFrame:
-    """Mean and sample deviation over folds, one row."""
-    return folds.agg(
-        *[e.alias(f"cv_{m}_{n}") for m in ("ap", "p_at_3") for n, e in (("mean", F.avg(m)), ("std", F.stddev_samp(m)))]
-    )
+def origin_of(manifest: Mapping, group: str) -> dict[str, object]:
+    """Where a run's rows came from and how they were split, under the log's fixed names."""
+    read = {"datos_tabla": "tabla_origen", "datos_corte": "fecha_corte", "datos_hash": "content_hash", "datos_filas": "filas"}
+    split = {"semilla": SEED, "n_folds": K.N_FOLDS, "esquema_cv": f"GroupKFold({group})"}
+    return split | {logged: manifest[name] for logged, name in read.items()}
 
 
 def run(
@@ -202,29 +227,16 @@ def run(
     params: Mapping | None = None,
     parent: str | None = None,
     commit: str = R.UNKNOWN_COMMIT,
+    hash_of=None,
 ) -> tuple[str, dict]:
-    """Cross-validates, fits on everything, measures the gap, and logs the run."""
+    """Fits on all rows, measures that model and the folds' in one frame, and logs the run."""
     R.check(phase, candidate.family)
-    result = summary_of(cross_validate(candidate, encoder, rows, group, tie, params)).first().asDict()
-    started = time.perf_counter()
     final = train(candidate, encoder, rows, params)
-    result["segundos_entrenamiento"] = time.perf_counter() - started
-    fitted = metrics_of(final.score(rows), group, tie).first().asDict()
-    for metric, value in fitted.items():
-        result[f"train_{metric}"] = value
-        result[f"brecha_{metric}"] = value - result[f"cv_{metric}_mean"]
-    logged = {
-        "semilla": SEED,
-        "n_folds": K.N_FOLDS,
-        "esquema_cv": f"GroupKFold({group})",
-        "datos_tabla": manifest["tabla_origen"],
-        "datos_corte": manifest["fecha_corte"],
-        "datos_hash": manifest["content_hash"],
-        "datos_filas": manifest["filas"],
-        **(params or {}),
-    }
-    run_id = R.log_run(rows.sparkSession, log_path, name, candidate.family, phase, logged, result, commit, parent)
-    return run_id, result
+    sets = cross_validate(candidate, encoder, rows, group, tie, params, final=final, hash_of=hash_of)
+    measured = summary_of(sets).first().asDict() | {"segundos_entrenamiento": final.seconds}
+    logged = origin_of(manifest, group) | dict(params or {})
+    run_id = R.log_run(rows.sparkSession, log_path, name, candidate.family, phase, logged, measured, commit, parent)
+    return run_id, measured
 
 
 def sampled_params(space: Mapping, n: int, seed: int = SEED) -> list[dict]:
@@ -250,7 +262,35 @@ def random_search(
         run(log_path, f"{name}-{i}", "tuning", candidate, encoder, rows, group, tie, manifest, params, parent)
 
 
-def text_embedder(input_col: str, output_col: str, size: int = 256) -> Pipeline:
+def final_evaluation(
+    log_path: str,
+    runs: DataFrame,
+    known: Mapping[str, tuple[Candidate, Mapping]],
+    encoder: FeatureEncoder,
+    rows: DataFrame,
+    test: DataFrame,
+    group: str,
+    tie: Sequence[Column],
+    manifest: Mapping,
+) -> str:
+    """The best logged run, fitted again on all training rows and measured once on the test rows.
+    `known`: run name -> its candidate and parameters."""
+    best = R.leaderboard(runs).first()  # one row
+    candidate, params = known[best["name"]]
+    trained = train(candidate, encoder, rows, params)
+    found = metrics_of(trained.score(test), group, tie).first().asDict()
+    return R.log_run(
+        rows.sparkSession, log_path, best["name"], candidate.family, "final", origin_of(manifest, group) | dict(params),
+        {f"test_{m}": v for m, v in found.items()}, parent=best["run_id"],
+    )
+
+
+# Width of the offline embedding. Words share a slot where their hashes do: raise it for corpora whose
+# vocabulary is much larger.
+EMBEDDING_SIZE = 4096
+
+
+def text_embedder(input_col: str, output_col: str, size: int = EMBEDDING_SIZE) -> Pipeline:
     """Offline embedding: hashed term weights, unit length. Any estimator with the same columns can
     stand in for it."""
     return Pipeline(
@@ -263,7 +303,7 @@ def text_embedder(input_col: str, output_col: str, size: int = 256) -> Pipeline:
     )
 
 
-def embed_text(df: DataFrame, key: str, text: str, embedder=None, size: int = 256) -> DataFrame:
+def embed_text(df: DataFrame, key: str, text: str, embedder=None, size: int = EMBEDDING_SIZE) -> DataFrame:
     """key -> ARRAY<FLOAT>; keys without text have no row."""
     rows = df.select(key, text).filter(F.col(text).isNotNull())
     stage = embedder or text_embedder(text, "_embedding", size)

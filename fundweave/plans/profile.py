@@ -15,47 +15,45 @@ from ..functions import text as T
 from ..functions import variant as V
 from ..operators.quality import union_all
 
-# Metric id | table | dimension | problem, as the published profile words them.
-METRICS = """
-A00|awards|-|Filas en Bronze
-A01|awards|Completitud|Sin award_id
-A02|awards|Unicidad|Copias exactas de (award_id, updated_date) por recarga
-A03|awards|Unicidad|Awards con más de una versión (updated_date distinta)
-A04|awards|Completitud|Sin description (no se puede vectorizar)
-A05|awards|Completitud|Sin amount
-A06|awards|Validez|amount <= 0
-A07|awards|Consistencia|Monto en moneda distinta de USD
-A08|awards|Validez|end_date anterior a start_date
-A09|awards|Completitud|Sin start_date ni start_year
-A10|awards|Consistencia|description con etiquetas HTML
-A11|awards|Completitud|Sin funder identificado
-A12|awards|Consistencia|funder_id que no existe en funders cargados
-A13|awards|Completitud|Sin publicaciones enlazadas (funded_outputs = 0)
-A14|awards|Completitud|Sin primary_topic (no se puede filtrar por dominio)
-A15|awards|Precisión|Fecha de inicio solo con año (sin mes ni día)
-A16|awards|Precisión|Monto en USD inverosímil (>= USD 1.000 M en un award)
-W00|works|-|Filas en Bronze
-W01|works|Completitud|Sin work_id
-W02|works|Unicidad|Copias exactas de (work_id, updated_date) por recarga
-W03|works|Completitud|Sin título
-W04|works|Completitud|Sin abstract
-W05|works|Validez|publication_year fuera de rango
-W06|works|Completitud|Mención de award sin award_id
-W07|works|Completitud|Autoría sin author_id
-W08|works|Unicidad|Autor repetido dentro del mismo work
-W09|works|Consistencia|Enlace a un award que no está cargado
-W10|works|Validez|Publicaciones retractadas
-W11|works|Precisión|Fecha de publicación el 1 de enero (en realidad, solo el año)
-F01|funders|Completitud|Sin funder_id
-F02|funders|Unicidad|funder_id repetido entre cargas
-F03|funders|Completitud|Sin nombre
-T01|topics|Completitud|Sin topic_id
-T02|topics|Unicidad|topic_id repetido entre cargas
-"""
+# Metric id, then table, dimension and problem, as the published profile words them.
+LABELS = {
+    "A00": ("awards", "-", "Filas en Bronze"),
+    "A01": ("awards", "Completitud", "Sin award_id"),
+    "A02": ("awards", "Unicidad", "Copias exactas de (award_id, updated_date) por recarga"),
+    "A03": ("awards", "Unicidad", "Awards con más de una versión (updated_date distinta)"),
+    "A04": ("awards", "Completitud", "Sin description (no se puede vectorizar)"),
+    "A05": ("awards", "Completitud", "Sin amount"),
+    "A06": ("awards", "Validez", "amount <= 0"),
+    "A07": ("awards", "Consistencia", "Monto en moneda distinta de USD"),
+    "A08": ("awards", "Validez", "end_date anterior a start_date"),
+    "A09": ("awards", "Completitud", "Sin start_date ni start_year"),
+    "A10": ("awards", "Consistencia", "description con etiquetas HTML"),
+    "A11": ("awards", "Completitud", "Sin funder identificado"),
+    "A12": ("awards", "Consistencia", "funder_id que no existe en funders cargados"),
+    "A13": ("awards", "Completitud", "Sin publicaciones enlazadas (funded_outputs = 0)"),
+    "A14": ("awards", "Completitud", "Sin primary_topic (no se puede filtrar por dominio)"),
+    "A15": ("awards", "Precisión", "Fecha de inicio solo con año (sin mes ni día)"),
+    "A16": ("awards", "Precisión", "Monto en USD inverosímil (>= USD 1.000 M en un award)"),
+    "W00": ("works", "-", "Filas en Bronze"),
+    "W01": ("works", "Completitud", "Sin work_id"),
+    "W02": ("works", "Unicidad", "Copias exactas de (work_id, updated_date) por recarga"),
+    "W03": ("works", "Completitud", "Sin título"),
+    "W04": ("works", "Completitud", "Sin abstract"),
+    "W05": ("works", "Validez", "publication_year fuera de rango"),
+    "W06": ("works", "Completitud", "Mención de award sin award_id"),
+    "W07": ("works", "Completitud", "Autoría sin author_id"),
+    "W08": ("works", "Unicidad", "Autor repetido dentro del mismo work"),
+    "W09": ("works", "Consistencia", "Enlace a un award que no está cargado"),
+    "W10": ("works", "Validez", "Publicaciones retractadas"),
+    "W11": ("works", "Precisión", "Fecha de publicación el 1 de enero (en realidad, solo el año)"),
+    "F01": ("funders", "Completitud", "Sin funder_id"),
+    "F02": ("funders", "Unicidad", "funder_id repetido entre cargas"),
+    "F03": ("funders", "Completitud", "Sin nombre"),
+    "T01": ("topics", "Completitud", "Sin topic_id"),
+    "T02": ("topics", "Unicidad", "topic_id repetido entre cargas"),
+}
 IMPLAUSIBLE_USD = 1_000_000_000
 
-LABELS = {row.split("|")[0]: row.split("|")[1:] for row in METRICS.strip().splitlines()}
-
 
 def _texts(raw: DataFrame, *names: str, nodes: dict[str, str] | None = None, **paths: str) -> DataFrame:
     return V.extract(raw, {**{n: n for n in names}, **paths}, nodes or {}, [])

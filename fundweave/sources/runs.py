@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -76,13 +76,18 @@ def export_csv(runs: DataFrame, path: str) -> DataFrame:
     return ordered
 
 
-def train_cv_gap(runs: DataFrame, metrics: tuple[str, ...] = ("ap", "p_at_3")) -> DataFrame:
-    """How much better each metric is on the training rows than in cross-validation."""
-    m = F.col("metrics")
-    return runs.select(
-        "run_id", "name",
-        *[(m[f"train_{n}"] - m[f"cv_{n}_mean"]).alias(f"brecha_{n}") for n in metrics],
-    )
+# What is measured on every set of rows.
+MEASURED = ("ap", "p_at_3")
+
+
+def gap(metric: str, value: Callable[[str], Column]) -> Column:
+    """How much better a metric is on the training rows than in cross-validation."""
+    return (value(f"train_{metric}") - value(f"cv_{metric}_mean")).alias(f"brecha_{metric}")
+
+
+def train_cv_gap(runs: DataFrame, metrics: tuple[str, ...] = MEASURED) -> DataFrame:
+    value = F.col("metrics").getItem
+    return runs.select("run_id", "name", *[gap(n, value) for n in metrics])
 
 
 def leaderboard(runs: DataFrame, metric: str = "cv_ap_mean") -> DataFrame:

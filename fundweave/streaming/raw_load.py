@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,25 +32,44 @@ def as_raw(records: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     )
 
 
+# Fixed value: how the source names its files, first part 0.
+PART_NAME = "part_{:04d}.parquet"
+
+
+def planned_files(source: str, days: Sequence[str] | None, files_per_day: int | None) -> tuple[str, str]:
+    """Folder glob and file-name glob of the planned files: what is not planned is never listed."""
+    folder = source if days is None else f"{source}/updated_date={{{','.join(days)}}}"
+    names = "*.parquet" if files_per_day is None else f"{{{','.join(map(PART_NAME.format, range(files_per_day)))}}}"
+    return folder, names
+
+
 def load_new_files(
     spark: SparkSession,
     source: str,
     target: str,
     checkpoint: str,
     schema: T.StructType,
-    glob: str = "*.parquet",
+    days: Sequence[str] | None = None,
+    files_per_day: int | None = None,
 ) -> None:
     """Loads the files under `source` that no earlier run has loaded, then stops.
 
-    The checkpoint remembers the files, so a second run adds nothing. A batch becomes visible only
-    through the sink's commit log: an unreadable file fails the batch and leaves no rows behind.
+    With `days` only the files of those update partitions, with `files_per_day` only the first parts
+    of each. The checkpoint remembers the files, so a second run adds nothing, whatever either run
+    planned. A batch becomes visible only through the sink's commit log: an unreadable file fails the
+    batch and leaves no rows behind. No day planned means nothing to do.
     """
+    if days is not None and not days:
+        return
+    folder, names = planned_files(source, days, files_per_day)
     files = (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", glob)
+        .option("pathGlobFilter", names)
         .option("recursiveFileLookup", True)
         .option("ignoreCorruptFiles", False)
-        .parquet(source)
+        # a backfill brings files older than the newest one loaded: none is too old
+        .option("maxFileAge", "36500d")
+        .parquet(folder)
     )
     query = (
         as_raw(files)

@@ -162,8 +162,62 @@ def tree_models(spark, sf):
     return M.metrics_of(scored, "source", doc_tie(), by=["model"])
 
 
-@query("grouped_cv")
+FOLD_SQL = "CAST(substr(source, 4) AS BIGINT) * 2654435761 % 5"
+FOLD = lambda g: F.substring(g, 4, 18).cast("long") * F.lit(2_654_435_761)
+# The prior of a fold is the share of positives outside it; the rule is the documents' arithmetic score.
+FOLD_SHAPES = {
+    "folded": f"SELECT *, CAST({FOLD_SQL} AS INTEGER) AS fold FROM {{scored}}",
+    "fold_scores": """
+SELECT 'dummy_prior' AS name, fold, source, doc_id, tie, label, CAST(0 AS DOUBLE) AS score FROM {folded}
+UNION ALL SELECT 'regla', fold, source, doc_id, tie, label, score FROM {folded}
+UNION ALL SELECT 'dummy_prior', -1, source, doc_id, tie, label, 0 FROM {folded}
+UNION ALL SELECT 'regla', -1, source, doc_id, tie, label, score FROM {folded}""",
+    "fold_ap": """
+SELECT name, fold, sum(tp * ctp / cn) / nullif(sum(tp), 0) AS ap FROM (
+  SELECT name, fold, tp, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn
+  FROM (SELECT name, fold, score, sum(label) AS tp, count(*) AS n FROM {fold_scores} GROUP BY ALL) s
+  WINDOW w AS (PARTITION BY name, fold ORDER BY score DESC)) t
+GROUP BY name, fold""",
+    "fold_p": """
+SELECT name, fold, avg(p) AS p_at_3 FROM (
+  SELECT name, fold, source, avg(label) AS p FROM (
+    SELECT * FROM {fold_scores}
+    QUALIFY row_number() OVER (PARTITION BY name, fold, source ORDER BY score DESC, doc_id) <= 3) r
+  GROUP BY name, fold, source) t
+GROUP BY name, fold""",
+    "fold_summary": """
+SELECT name, avg(ap) FILTER (WHERE fold >= 0) AS cv_ap_mean, avg(p_at_3) FILTER (WHERE fold >= 0) AS cv_p_at_3_mean,
+       stddev_samp(ap) FILTER (WHERE fold >= 0) AS cv_ap_std, stddev_samp(p_at_3) FILTER (WHERE fold >= 0) AS cv_p_at_3_std,
+       count(ap) FILTER (WHERE fold >= 0) AS cv_folds,
+       max(ap) FILTER (WHERE fold < 0) AS train_ap, max(p_at_3) FILTER (WHERE fold < 0) AS train_p_at_3
+FROM {fold_ap} JOIN {fold_p} USING (name, fold) GROUP BY name""",
+}
+SCORERS = ("dummy_prior", "regla")
+
+
+def rounded(df, digits=6):
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query(
+    "grouped_cv",
+    oracle("""
+SELECT name, round(cv_ap_mean, 6) AS cv_ap_mean, round(cv_p_at_3_mean, 6) AS cv_p_at_3_mean,
+       round(cv_ap_std, 6) AS cv_ap_std, round(cv_p_at_3_std, 6) AS cv_p_at_3_std, cv_folds FROM {fold_summary}""", **FOLD_SHAPES),
+)
 def grouped_cv(spark, sf):
+    """Grouped folds of the two scorers whose values both engines can repeat."""
+    rows, known = documents(spark, sf), M.candidates(F.col("signal"))
+    parts = [
+        M.summary_of(M.cross_validate(known[n], None, rows, "source", [F.col("doc_id")], hash_of=FOLD)).select(
+            F.lit(n).alias("name"), "cv_ap_mean", "cv_p_at_3_mean", "cv_ap_std", "cv_p_at_3_std", "cv_folds")
+        for n in SCORERS
+    ]
+    return rounded(parts[0].unionByName(parts[1]))
+
+
+@query("grouped_cv_fitted")
+def grouped_cv_fitted(spark, sf):
     folds = M.cross_validate(M.candidates()["logistica"], document_encoder(), documents(spark, sf), "source", doc_tie())
     return M.summary_of(folds)
 
@@ -182,8 +236,30 @@ def random_search(spark, sf):
     return R.leaderboard(R.read_runs(spark, log)).drop("run_id")
 
 
-@query("runs_log")
+@query(
+    "runs_log",
+    oracle("""
+SELECT name, 'baseline' AS fase, CASE name WHEN 'regla' THEN 'regla' ELSE 'dummy' END AS familia,
+       '42' AS semilla, 'GroupKFold(source)' AS esquema_cv, (SELECT CAST(count(*) AS VARCHAR) FROM {scored}) AS datos_filas,
+       round(cv_ap_mean, 6) AS cv_ap_mean, round(train_p_at_3, 6) AS train_p_at_3,
+       round(train_ap - cv_ap_mean, 6) AS brecha_ap, round(train_p_at_3 - cv_p_at_3_mean, 6) AS brecha_p_at_3
+FROM {fold_summary}""", **FOLD_SHAPES),
+)
 def runs_log(spark, sf):
+    rows, log = documents(spark, sf), workspace.new_folder(spark, "runs")
+    facts, known = document_manifest(rows), M.candidates(F.col("signal"))
+    for name in SCORERS:
+        M.run(log, name, "baseline", known[name], None, rows, "source", [F.col("doc_id")], facts, hash_of=FOLD)
+    shown = R.read_runs(spark, log).select(
+        "name", "fase", "familia", *[F.col("params")[p].alias(p) for p in ("semilla", "esquema_cv", "datos_filas")],
+        *[F.col("metrics")[m].alias(m) for m in ("cv_ap_mean", "train_p_at_3", "brecha_ap", "brecha_p_at_3")],
+    )
+    return rounded(shown)
+
+
+@query("fitted_runs")
+def fitted_runs(spark, sf):
+    """A fitted candidate's run beside the prior's, as logged."""
     rows, log = documents(spark, sf), workspace.new_folder(spark, "runs")
     facts = document_manifest(rows)
     for name in ("dummy_prior", "logistica"):

@@ -487,7 +487,7 @@ WIDE_ORACLE = gold_oracle(
 @query("obt", WIDE_ORACLE)
 def wide_table(spark, sf):
     """The wide table; the two long texts are shown by their digests."""
-    flat = obt.published(obt.flatten(star(spark, sf)))
+    flat = obt.published(obt.flatten(stored_star(spark, sf)[1]))
     return flat.withColumns(
         {"abstract_text": F.md5("abstract_text"), "work_text": F.md5("work_text")}
     ).drop("_obt_built_at")
@@ -577,6 +577,19 @@ def duration_by_type(spark, sf):
     return reports.duration_by_type(t["fact_awards"], t["dim_award"])
 
 
+@query(
+    "calendar_rollup",
+    gold_oracle("""
+SELECT us_fiscal_year, quarter, day_of_week_iso, is_weekend, CAST(sum(award_count) AS BIGINT) AS awards,
+       CAST(sum(amount_usd) AS DOUBLE) AS usd
+FROM {fact_awards} f JOIN {dim_date} d ON d.date_key = f.start_date_key
+GROUP BY ALL"""),
+)
+def calendar_rollup(spark, sf):
+    t = star(spark, sf)
+    return reports.awards_by_calendar(t["fact_awards"], t["dim_date"])
+
+
 @query(
     "join_text",
     f"""

@@ -10,7 +10,7 @@ from fundweave.session import local  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local("4", shuffle_partitions=4, memory="4g")
+    session = local("8", shuffle_partitions=4, memory="4g")
     if not session.conf.get("spark.checkpoint.dir", None):
         session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session

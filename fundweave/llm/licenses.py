@@ -3,12 +3,14 @@
 A paragraph is a line with a word. Its features are counts of the words and word pairs of the known
 notices, scaled by the square root of their number; a multinomial logistic regression over them gives
 the families and `none`. Two things make a finding `unknown` instead of a family: a probability below
-the calibrated cut, and wording too far from every notice of the predicted family.
+the calibrated cut, and wording too far from every notice of the predicted family. Lines of a few
+words ("License: MIT") have too few pairs for that; their words are compared with the families' names.
 
 Training is numpy on the driver, over the notices below, seeded variants of them, and a bounded sample
 of `LINES` corpus lines without licence vocabulary (one line a document, the documents by a hash of
 their id). The cut is the one that best tells held-out variants of known notices from notices of
-families that are not listed. Scanning covers every line of every text, in Arrow batches, without a
+families that are not listed. What is no notice at all is calibrated too: the probability of `none`
+and the likeness to any notice that best tell unlisted notices from held-out corpus lines. Scanning covers every line of every text, in Arrow batches, without a
 shuffle.
 
 Defined cases: null and empty texts have no paragraph and no licence; several licences are all listed,
@@ -101,6 +103,28 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Copyright holders reserve all rights; reproduction without written permission is prohibited.",
     ),
 }
+# Names and SPDX identifiers, as they stand in short notices.
+NAMES: dict[str, tuple[str, ...]] = {
+    "agpl": ("AGPL", "AGPLv3", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "GNU AGPL", "GNU AGPL v3", "GNU AGPLv3"),
+    "apache-2.0": ("Apache 2.0", "Apache-2.0", "Apache License 2.0", "Apache License, Version 2.0", "Apache License v2.0"),
+    "bsd": ("BSD", "BSD-2-Clause", "BSD-3-Clause", "BSD 2-Clause", "BSD 3-Clause", "New BSD", "Simplified BSD"),
+    "cc-by": ("CC BY", "CC-BY", "CC BY 4.0", "CC BY 3.0", "CC-BY-4.0", "CC-BY-3.0"),
+    "cc-by-nc": ("CC BY-NC", "CC-BY-NC", "CC BY-NC 4.0", "CC BY-NC 3.0", "CC-BY-NC-4.0", "CC-BY-NC-3.0"),
+    "cc-by-sa": ("CC BY-SA", "CC-BY-SA", "CC BY-SA 4.0", "CC BY-SA 3.0", "CC-BY-SA-4.0", "CC-BY-SA-3.0"),
+    "cc0": ("CC0", "CC0 1.0", "CC0-1.0", "CC0 1.0 Universal"),
+    "gpl": (
+        "GPL", "GPLv2", "GPLv3", "GPL v2", "GPL v3", "GPL-2.0", "GPL-3.0", "GPL-2.0-only", "GPL-3.0-only",
+        "GPL-2.0-or-later", "GPL-3.0-or-later", "GNU GPL", "GNU GPL v2", "GNU GPL v3", "GNU GPLv3",
+        "GNU General Public License", "GNU General Public License v3.0",
+    ),
+    "lgpl": (
+        "LGPL", "LGPLv2.1", "LGPLv3", "LGPL v2.1", "LGPL v3", "LGPL-2.1", "LGPL-3.0", "LGPL-2.1-only",
+        "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "GNU LGPL", "GNU LGPL v3",
+    ),
+    "mit": ("MIT", "Expat", "MIT/Expat"),
+    "mpl-2.0": ("MPL 2.0", "MPL-2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0"),
+}
+FORMS = ("{} License", "The {} License", "License: {}", "Licensed under {}", "SPDX-License-Identifier: {}")
 # Notices of families that are not listed, and plain sentences with the same words.
 OTHERS = (
     "Licensed under the Harbour Community License, edition 7.",
@@ -109,6 +133,11 @@ OTHERS = (
     "Covered by the Eastgate Research License, version 9.",
     "This work is licensed under house terms; ask the editor.",
     "Use is permitted under the Blue Kettle End User Agreement.",
+    "ISC License",
+    "License: Zlib",
+    "SPDX-License-Identifier: EUPL-1.2",
+    "The Harbour License",
+    "Licensed under Artistic-2.0",
 )
 PLAIN = (
     "The driver had to renew a license before the end of the year.",
@@ -119,6 +148,11 @@ PLAIN = (
     "A copy of the file was made without a word about the terms.",
     "He works at the institute as published in the general notice.",
     "The commons are open to the public and free of charge.",
+    "Version 3.0",
+    "Version 2.",
+    "2.0",
+    "The public office",
+    "Read by the members",
 )
 
 NONE, UNKNOWN = "none", "unknown"
@@ -126,8 +160,10 @@ LINES = 1500
 VARIANTS = 60
 #: Share of word pairs that a paragraph and a notice must have in common, of the shorter one's.
 CONFIRM = 0.6
-#: Below this share a paragraph has nothing of the predicted family's wording: it is no notice at all.
-NEAR = 0.2
+#: Words of a line that is compared with the short notices, at most.
+SHORT = 8
+#: Words of the short notices of more families than this say little about the family.
+SHARED = 3
 SEED = 11
 ROUNDS = 300
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
@@ -146,6 +182,15 @@ def word_of(stretch: str) -> str:
     return m[0] if m else ""
 
 
+def short_notices() -> dict[str, list[str]]:
+    """Short notices of each family: its names in every form, and alone if they are no plain word."""
+    return {
+        f: [form.format(n) for n in names for form in FORMS]
+        + [n for n in names if len(words_of(n)) > 1 or re.search(r"\d", n)]
+        for f, names in NAMES.items()
+    }
+
+
 def pairs_of(line: str) -> set[tuple[str, str]]:
     w = words_of(line)
     return set(zip(w, w[1:])) or {(x, "") for x in w}
@@ -161,6 +206,9 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     cut: float = 0.5
+    #: A notice has less probability of `none` than this, and at least this likeness to some notice.
+    none: float = 0.5
+    near: float = 0.0
 
 
 def _features(line: str, m: Model) -> np.ndarray:
@@ -198,7 +246,8 @@ def train(lines: list[str], seed: int = SEED) -> Model:
     """Fits the regression and its cut; `lines` are corpus lines about other things."""
     r = np.random.default_rng(seed)
     families = [NONE, *sorted(NOTICES)]
-    known = [n for f in families[1:] for n in NOTICES[f]]
+    short = short_notices()
+    known = [n for f in families[1:] for n in (*NOTICES[f], *short.get(f, ()))]
     vocabulary = sorted({w for line in [*known, *PLAIN, *OTHERS] for w in words_of(line)})
     words = {w: i + 1 for i, w in enumerate(vocabulary)}
     two = sorted({p for line in known for p in zip(words_of(line), words_of(line)[1:])})
@@ -209,6 +258,8 @@ def train(lines: list[str], seed: int = SEED) -> Model:
     weights = np.zeros((size, len(families)), np.float32)
     m = Model(families, words, pairs, weights, np.zeros(len(families), np.float32))
     filler = [w for line in lines[:200] for w in line.split()[:20]]
+    # A fifth of the corpus lines is kept for calibration.
+    apart, lines = lines[::5], [x for i, x in enumerate(lines) if i % 5]
     texts, y = [*PLAIN, *lines], [0] * (len(PLAIN) + len(lines))
     held: list[str] = []
     for c, f in enumerate(families[1:], 1):
@@ -217,6 +268,8 @@ def train(lines: list[str], seed: int = SEED) -> Model:
             held += made[-VARIANTS // 5 :]
             texts += made[: -VARIANTS // 5]
             y += [c] * (len(made) - VARIANTS // 5)
+        texts += 2 * short.get(f, [])
+        y += [c] * 2 * len(short.get(f, []))
     x = np.stack([_features(t, m) for t in texts])
     target = np.eye(len(families), dtype=np.float32)[y]
     share = target.sum(axis=0)
@@ -237,9 +290,28 @@ def train(lines: list[str], seed: int = SEED) -> Model:
     # Among the best cuts the middle one; wording decides where probabilities cannot.
     best = cuts[np.flatnonzero(np.isclose(good, max(good)))]
     m.cut = float(min(best[len(best) // 2], np.quantile(inside, 0.02)))
+    m.none, m.near = _lower(m, list(OTHERS), [*PLAIN, *apart])
     return m
 
 
+def _lower(m: Model, unlisted: list[str], plain: list[str]) -> tuple[float, float]:
+    """The two limits that best tell `unlisted` notices from `plain` lines, each midway between what
+    it must let through and the next plain line that it keeps out."""
+    scanner = Scanner(m)
+    none = {k: probabilities(m, np.stack([_features(t, m) for t in g]))[:, 0] for k, g in ((1, unlisted), (0, plain))}
+    near = {k: np.asarray([max(scanner.similarity(t, f) for f in m.families[1:]) for t in g]) for k, g in ((1, unlisted), (0, plain))}
+    tries = [
+        ((none[1] <= a) & (near[1] >= b)).mean() - ((none[0] <= a) & (near[0] >= b)).mean()
+        for a in none[1]
+        for b in near[1]
+    ]
+    at = int(np.argmax(tries))
+    a, b = float(none[1][at // len(near[1])]), float(near[1][at % len(near[1])])
+    above = none[0][(near[0] >= b) & (none[0] > a)].min(initial=1.0)
+    below = near[0][(none[0] <= a) & (near[0] < b)].max(initial=0.0)
+    return (a + float(above)) / 2, (b + float(below)) / 2
+
+
 def learn(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lines: int = LINES
 ) -> Model:
@@ -265,6 +337,10 @@ class Scanner:
     def __init__(self, m: Model) -> None:
         self.model = m
         self.notices = {f: [pairs_of(n) for n in lines] for f, lines in NOTICES.items()}
+        short = {f: [frozenset(words_of(n)) for n in lines] for f, lines in short_notices().items()}
+        self.short = {f: list(set(notices)) for f, notices in short.items()}
+        spread = Counter(w for notices in self.short.values() for w in frozenset().union(*notices))
+        self.common = {w for w, n in spread.items() if n > SHARED}
         self.known: dict[str, int] = {}
 
     def ids(self, stretches: list[str]) -> np.ndarray:
@@ -283,8 +359,16 @@ class Scanner:
             least = min(len(mine), len(notice))
             if least >= min(3, len(notice)):
                 best = max(best, len(mine & notice) / least)
+        each = words_of(line)
+        if 0 < len(each) <= SHORT:
+            words = frozenset(each)
+            for notice in self.short.get(family, ()):
+                best = max(best, self.weight(words & notice) / self.weight(words | notice))
         return best
 
+    def weight(self, words: frozenset[str]) -> float:
+        return sum(0.5 if w in self.common else 1.0 for w in words)
+
     def scan(self, texts: list[str | None]) -> list[tuple[int, list[tuple[int, int, int, str, float, float]]]]:
         """For each text its number of paragraphs and its findings: (paragraph, start, end, family or
         unknown, probability, similarity); start and end are code points."""
@@ -321,12 +405,13 @@ class Scanner:
             z = z / np.sqrt(np.maximum(total, 1))[:, None] + m.bias
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
-            for i in np.flatnonzero(p[:, 0] < 0.5):
+            for i in np.flatnonzero(p[:, 0] < m.none):
                 c = int(p[i, 1:].argmax()) + 1
                 near = self.similarity(lines[i], m.families[c])
-                if near < NEAR:
-                    continue
                 sure = p[i, c] >= m.cut and near >= CONFIRM
+                # The likeness to any family's notices tells unlisted notices from other lines.
+                if not sure and max(self.similarity(lines[i], f) for f in m.families[1:]) < m.near:
+                    continue
                 n, start = places[i]
                 found[owner[i]].append(
                     (n, start, start + len(lines[i]), m.families[c] if sure else UNKNOWN, float(p[i, c]), near)

@@ -389,6 +389,27 @@ def test_licenses(spark, odd, empty, docs):
     assert licenses.scan(empty, licenses.learn(empty, lines=5)).count() == 0
 
 
+def test_licenses_in_few_words_and_unlisted_ones(docs):
+    model = licenses.learn(docs)
+    listed = {
+        "MIT License": "mit",
+        "License: MIT": "mit",
+        "// SPDX-License-Identifier: MIT": "mit",
+        "Apache License 2.0": "apache-2.0",
+        "GNU GPL v3": "gpl",
+        "License: GPL-3.0": "gpl",
+        "CC BY-NC 4.0": "cc-by-nc",
+    }
+    unlisted = [*licenses.OTHERS, "SPDX-License-Identifier: ISC", "License: WTFPL", "Walnut Public License", "Apache License 1.1"]
+    scanner = licenses.Scanner(model)
+    kinds = lambda lines: [[f[3] for f in found] for _, found in scanner.scan(lines)]
+    assert kinds(list(listed)) == [[f] for f in listed.values()]
+    assert kinds(unlisted) == [["unknown"]] * len(unlisted)
+    assert kinds(list(licenses.PLAIN)) == [[]] * len(licenses.PLAIN)
+    df = docs.sparkSession.createDataFrame([(i, x) for i, x in enumerate(unlisted)], "doc_id bigint, text string")
+    assert {(r.n_license, r.n_unknown) for r in licenses.scan(df, model).collect()} == {(0, 1)}
+
+
 # ---------------------------------------------------------------- exact duplicates
 
 

@@ -6,8 +6,9 @@ divided by their number, and it is kept if the score reaches the threshold. Log
 whole thousandths, so a score does not depend on the order of additions and every document gets the
 same verdict on every run.
 
-Everything is a DataFrame expression. Words, n-grams and scores are arrays inside a row; the only
-shuffle carries one row per bucket and task. The model is `BUCKETS` integers, whatever the corpus;
+Everything is a DataFrame expression. Words, n-grams and scores are arrays inside a row. The counts
+cross a shuffle as one row per bucket and task. All trusted ids, whose number grows with the input,
+are joined to the texts by a shuffled hash join: texts are shuffled once and not sorted. The model is `BUCKETS` integers, whatever the corpus;
 they enter the scoring plan as one array constant.
 
 Defined cases: null and empty texts have no words, score 0 and fail the base rules; the raw counts
@@ -22,14 +23,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, class_sample, col, fresh, whole, words
+from .common import SPACE, col, fresh, whole, words
 
 #: Hash buckets of the multinomials; a power of two.
 BUCKETS = 1 << 15
 #: Lengths of the n-grams.
 ORDERS = (1, 2)
-#: Documents that stand for the trusted target, at most; the first by a hash of their id.
-TRUSTED = 20_000
 #: Mean log ratio (in thousandths of a nat per n-gram) from which a document is kept.
 THRESHOLD = -100
 #: Pseudo-count of every bucket in both multinomials.
@@ -111,10 +110,9 @@ def measure(df: DataFrame, text_col: str = "text") -> tuple[DataFrame, dict[str,
     return df, names, h
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """Ids of the trusted target: documents labelled as good, `limit` at most, by a hash of the id."""
-    good = labels.filter(F.col("quality") == 1).select("doc_id", F.lit(1).alias("good")).distinct()
-    return class_sample(good, "doc_id", "good", limit).select("doc_id")
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of the trusted target: all documents labelled as good."""
+    return labels.filter((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def fit(
@@ -126,14 +124,13 @@ def fit(
     size: int = BUCKETS,
     prior: float = PRIOR,
 ) -> str:
-    """Log ratios of all buckets in thousandths, comma separated. `trusted` (doc_id) is a table of
-    bounded size, so it is broadcast; the counts cover every row of `docs`."""
-    rows = docs.select(col(id_col).alias("doc_id"), words(col(text_col)).alias("w")).select(
-        "doc_id", hashes(F.col("w")).alias("h")
-    )
-    good = F.broadcast(trusted.select(F.col("doc_id").alias("t_id")).distinct())
+    """Log ratios of all buckets in thousandths, comma separated. `trusted` (doc_id) may be of any
+    size; the counts cover every row of `docs`, and of the target every row with a trusted id."""
+    rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
+    good = trusted.select(F.col("doc_id").alias("t_id")).distinct().hint("shuffle_hash")
+    # Words are hashed above the join: where it shuffles, texts are smaller than their hashes.
     flagged = rows.join(good, F.col("doc_id") == F.col("t_id"), "left").select(
-        F.col("t_id").isNotNull().cast("long").alias("good"), "h"
+        F.col("t_id").isNotNull().cast("long").alias("good"), hashes(words(F.col("text"))).alias("h")
     )
     counts = (
         flagged.select("good", F.explode(buckets(F.col("h"), orders, size)).alias("bucket"))

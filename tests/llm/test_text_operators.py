@@ -347,6 +347,18 @@ def test_quality_equals_plain(spark, request, labels, which):
         assert r[names["kept"]] == (not r[names["base_failed"]] and score >= quality.THRESHOLD)
 
 
+def test_quality_counts_every_trusted_document(spark):
+    """More trusted documents than any sample: half of all texts, and nothing but `good` in them."""
+    n, size = 50_000, 1 << 10
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "good").otherwise("bad").alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("quality"))
+    assert quality.trusted_ids(labels.union(labels)).count() == n // 2
+    b = docs.limit(1).select(quality.buckets(quality.hashes(F.array(F.lit("good"))), (1,), size)[0]).first()[0]
+    want = 1000 * (np.log((n / 2 + 1) / (n / 2 + size)) - np.log((n / 2 + 1) / (n + size)))
+    got = int(quality.fit(docs, quality.trusted_ids(labels), size=size).split(",")[b])
+    assert abs(got - want) <= 0.5001
+
+
 def test_quality_filter_and_empty(empty, docs, labels):
     kept = quality.good_documents(docs, labels)
     assert kept.columns == docs.columns

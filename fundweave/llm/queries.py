@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fundweave.sources.workspace import cut
 
 from . import bytebpe, chat, exact, language, licenses, packing, quality, simhash, tokenfile, toxicity
-from .common import fold, table, words
+from .common import fold, table
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +85,10 @@ FROM whole
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.packed(docs, F.size(words(F.col("text"))))
+    # Stored, as packing reads the lengths twice and the tokenizer is the costly part.
+    path = public_tokenizers.path("word_bpe_49k.json")
+    lengths = cut(tokenfile.sizes(docs, path), "lengths")
+    return packing.packed(lengths, F.col("n_ids"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

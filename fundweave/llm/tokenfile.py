@@ -337,6 +337,26 @@ def write(
     )
 
 
+def sizes(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_ids) of every row: the number of ids that `write` stores for it, the end id among
+    them. No shuffle, and nothing is written."""
+    ship(df.sparkSession)
+    id_type = df.schema[id_col].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = word_encoder(path)
+        for rows in batches:
+            for at in range(0, len(rows), 2000):
+                part = rows.slice(at, 2000)
+                _, lengths = encoder.encode(part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(lengths + 1, pa.int64())], names=["doc_id", "n_ids"]
+                )
+
+    rows = df.select(col(id_col).alias("doc_id"), whole(col(text_col)).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {id_type}, n_ids bigint")
+
+
 class Reader:
     """Keyed access to one shard."""
 

@@ -167,6 +167,24 @@ def test_packing_splits_many_copies(spark):
     assert len({r.bin_id.split("-")[0] for r in got}) > 1
 
 
+def test_packing_counts_token_ids(spark, odd, empty):
+    from tokenizers import Tokenizer
+
+    from fundweave.llm import queries
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    count = lambda text: len(plain.encode(text or "", add_special_tokens=False).ids) + 1
+    got = Counter((r.doc_id, r.n_ids) for r in tokenfile.sizes(odd, path).collect())
+    assert got == Counter((r.doc_id, count(r.text)) for r in odd.collect())
+    assert tokenfile.sizes(empty, path).count() == 0
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    total = Counter()
+    for r in queries.op2_best_fit_packing(spark, SMALL).collect():
+        total[r.doc_id] += r.length
+    assert total == {i: count(text) for i, text in docs.items()}
+
+
 # ---------------------------------------------------------------- toxicity
 
 

@@ -62,7 +62,7 @@ def prior_score(train: DataFrame) -> Column:
 def logistic(params: Mapping) -> LogisticRegression:
     """`C` is the inverse penalty on the summed loss; Spark penalises the mean, hence C * n."""
     return LogisticRegression(
-        maxIter=params.get("max_iter", 100),
+        maxIter=params.get("max_iter", 1000),
         regParam=1.0 / (params.get("C", 1.0) * params["n"]),
         elasticNetParam=0.0,
         standardization=False,

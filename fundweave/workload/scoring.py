@@ -144,7 +144,7 @@ def logistic(spark, sf):
     rows = workspace.cut(features(spark, sf), "features")
     encoder = E.FeatureEncoder(X.NUMERIC_FEATURES, X.CATEGORICAL_FEATURES)
     held_out = F.expr("pmod(xxhash64(work_key), 5) = 0")
-    trained = M.train(M.candidates()["logistica"], encoder, rows.filter(~held_out), {"max_iter": 50, "class_weight": "balanced"})
+    trained = M.train(M.candidates()["logistica"], encoder, rows.filter(~held_out), {"class_weight": "balanced"})
     scored = workspace.cut(trained.score(rows.filter(held_out)).select("work_key", "award_key", "label", "score"), "scores")
     return M.metrics_of(scored, "work_key", [K.tie_break("work_key", "award_key")])
 
@@ -155,7 +155,7 @@ def tree_models(spark, sf):
     known = M.candidates()
     parts = []
     for name in ("bosque", "boosting", "red"):
-        trained = M.train(known[name], document_encoder(), rows.filter("doc_id % 5 <> 0"), {"trees": 10, "rounds": 5, "max_iter": 20})
+        trained = M.train(known[name], document_encoder(), rows.filter("doc_id % 5 <> 0"))
         scored = trained.score(rows.filter("doc_id % 5 = 0"))
         parts.append(scored.select(F.lit(name).alias("model"), "source", "doc_id", "label", "score"))
     scored = workspace.cut(parts[0].unionByName(parts[1]).unionByName(parts[2]), "scores")

@@ -5,6 +5,19 @@ from fundweave.plans import models
 from fundweave.sources import runs, workspace
 
 
+def test_queries_train_with_the_stated_defaults(spark, monkeypatch):
+    """The reference's 1000 iterations at most, and no query trains less than a candidate's default."""
+    from fundweave.workload import scoring
+
+    found = models.candidates()
+    assert found["logistica"].build({"n": 10}).getMaxIter() == 1000
+    asked, plain = [], models.train
+    monkeypatch.setattr(models, "train", lambda c, e, r, params=None: asked.append((c.family, params)) or plain(c, e, r, params))
+    scoring.tree_models(spark, "/root/testdata/sf0.001")
+    scoring.logistic(spark, "/root/testdata/sf0.001")
+    assert asked == [("bagging", None), ("boosting", None), ("red_neuronal", None), ("lineal", {"class_weight": "balanced"})]
+
+
 def test_best_run_is_measured_once_on_the_test_rows(spark):
     """The rule orders by a score that is the label; the prior knows nothing. The rule wins and is perfect."""
     data = [(f"W{i % 30}", i, int(i % 3 == 0)) for i in range(300)]

@@ -14,7 +14,19 @@ from pyspark.sql import functions as F
 
 from fundweave.sources.workspace import cut
 
-from . import bytebpe, chat, exact, language, licenses, packing, quality, simhash, tokenfile, toxicity
+from . import (
+    bytebpe,
+    chat,
+    exact,
+    interaction,
+    language,
+    licenses,
+    packing,
+    quality,
+    simhash,
+    tokenfile,
+    toxicity,
+)
 from .common import fold, table
 
 
@@ -173,6 +185,63 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    counted = interaction.verdicts(docs, labels, interaction.text_filters(F.col("text")))
+    return interaction.audit(counted, "ABCDE")
+
+
+OP11_SQL = r"""
+WITH known AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+    max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), read AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END AS a,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 1 ELSE 0 END AS b,
+    CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 1 ELSE 0 END AS c,
+    CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 1 ELSE 0 END AS d,
+    CASE WHEN read.doc_id > min(read.doc_id) OVER (PARTITION BY text) THEN 1 ELSE 0 END AS e
+  FROM read LEFT JOIN known USING (doc_id)
+), masks AS (
+  SELECT part, good, toxic, a + 2 * b + 4 * c + 8 * d + 16 * e AS mask, count(*) AS n
+  FROM judged GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT p.letter || q.letter || r.letter || s.letter || t.letter AS filter_order,
+    [p.bit, q.bit, r.bit, s.bit, t.bit] AS bits
+  FROM letters p, letters q, letters r, letters s, letters t
+  WHERE p.bit + q.bit + r.bit + s.bit + t.bit = 31
+    AND (p.bit | q.bit | r.bit | s.bit | t.bit) = 31
+), steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (earlier + bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier = 0 AND good = 1 THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier = 0 AND toxic = 1 THEN n ELSE 0 END) AS toxic_lost
+  FROM masks CROSS JOIN (SELECT filter_order, step, bit, CAST(earlier AS BIGINT) AS earlier FROM steps)
+  GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept,
+  CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -187,9 +256,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_exact_dedup,
             op9_simhash,
             op10_language_id,
+            op11_filter_interaction,
         )
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op8_exact_dedup": OP8_SQL}
+    return {"op1_chat_format": OP1_SQL, "op8_exact_dedup": OP8_SQL, "op11_filter_interaction": OP11_SQL}

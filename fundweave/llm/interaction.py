@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -181,16 +181,20 @@ def audit(counted: DataFrame, filters: str) -> DataFrame:
         if sums:
             yield flush()
 
-    def merged(rows: pa.Table) -> int:
-        return sum(int.from_bytes(t.as_py(), "little") for t in rows.column("total"))
+    def merged(batches: Iterator[pa.RecordBatch]) -> int:
+        return sum(int.from_bytes(t.as_py(), "little") for rows in batches for t in rows.column("total"))
 
-    def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        total = Counters(filters).pack(merged(rows))
-        return pa.table({"part": [key[0].as_py()], "total": pa.array([total], pa.binary())})
+    def meet(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
+        total = Counters(filters).pack(merged(batches))
+        yield pa.RecordBatch.from_pydict({"part": pa.array([key[0].as_py()]), "total": pa.array([total], pa.binary())})
 
-    def read(key: tuple, rows: pa.Table) -> pa.Table:
+    def read(
+        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
+    ) -> Iterator[pa.RecordBatch]:
         counters = Counters(filters)
-        counts = counters.unpack(merged(rows))
+        counts = counters.unpack(merged(batches))
         n, steps = len(counters.orders) * len(filters), len(filters)
         letters = [c for order in counters.orders for c in order]
         removed = counts[:, :, OUTCOMES.index("removed")].ravel().tolist()
@@ -203,7 +207,7 @@ def audit(counted: DataFrame, filters: str) -> DataFrame:
         for i, name in enumerate(OUTCOMES):
             out[name] = pa.array(counts[:, :, i].ravel())
         out["shapley"] = pa.array([whole_sum[c] for c in letters], pa.int64())
-        return pa.table(out)
+        yield pa.RecordBatch.from_pydict(out)
 
     assert len(set(filters)) == len(filters) and math.factorial(len(filters)) <= 5040
     sums = counted.select("part", "code", "n").mapInArrow(add, "part string, lot int, total binary")

@@ -17,6 +17,7 @@ from fundweave.sources.workspace import cut
 from . import (
     bytebpe,
     chat,
+    divergence,
     exact,
     interaction,
     language,
@@ -242,6 +243,60 @@ FROM counted
 """
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents
+), found AS (
+  SELECT d, lang, source, unnest(terms) AS item FROM docs
+), kept AS (
+  SELECT lang, item FROM found GROUP BY lang, item HAVING count(DISTINCT d) >= 3
+), counted AS (
+  SELECT lang, source, item, count(*) AS n FROM found JOIN kept USING (lang, item) GROUP BY ALL
+), sized AS (
+  SELECT g.lang, g.source, coalesce(v.size, 0)::HUGEINT AS size, coalesce(c.total, 0)::HUGEINT AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g
+  LEFT JOIN (SELECT lang, count(*) AS size FROM kept GROUP BY lang) v USING (lang)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM counted GROUP BY ALL) c USING (lang, source)
+), shares AS (
+  SELECT s.lang, s.source, k.item, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (s.total + s.size)) AS p
+  FROM sized s JOIN kept k USING (lang) LEFT JOIN counted c USING (lang, source, item)
+), whole AS (
+  SELECT c.lang, c.item, (1 + (1000000000::HUGEINT * (c.n + 1)) // (t.total + t.size)) AS q
+  FROM (SELECT lang, item, sum(n)::HUGEINT AS n FROM counted GROUP BY ALL) c
+  JOIN (SELECT lang, sum(total)::HUGEINT AS total, any_value(size) AS size FROM sized GROUP BY lang) t USING (lang)
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0) AS value
+  FROM sized a JOIN sized b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS other, sum(((x.p - y.p) * (x.p - y.p)) // y.p) AS value
+    FROM shares x JOIN shares y ON x.lang = y.lang AND x.item = y.item AND x.source <> y.source
+    GROUP BY ALL
+  ) f ON f.lang = a.lang AND f.source = a.source AND f.other = b.source
+), stand AS (
+  SELECT lang, source, item, ((p - q) * (p - q)) // q AS value
+  FROM shares JOIN whole USING (lang, item) WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT lang, source, 'pair' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+  FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term' AS part, item, value,
+    row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank
+  FROM stand QUALIFY rank <= 200
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM ranked
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -257,9 +312,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_simhash,
             op10_language_id,
             op11_filter_interaction,
+            op13_source_divergence,
         )
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op1_chat_format": OP1_SQL, "op8_exact_dedup": OP8_SQL, "op11_filter_interaction": OP11_SQL}
+    return {
+        "op1_chat_format": OP1_SQL,
+        "op8_exact_dedup": OP8_SQL,
+        "op11_filter_interaction": OP11_SQL,
+        "op13_source_divergence": OP13_SQL,
+    }

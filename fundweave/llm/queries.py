@@ -24,6 +24,7 @@ from . import (
     licenses,
     packing,
     quality,
+    qualitynet,
     simhash,
     tokenfile,
     toxicity,
@@ -243,6 +244,16 @@ FROM counted
 """
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held = fold(F.col("doc_id"), 3) == 1
+    model = qualitynet.learn(docs.filter(~held), labels.filter(~held))
+    scored, names = qualitynet.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id", held.alias("held_out"), *[F.col(c).alias(n) for n, c in names.items()]
+    )
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
@@ -312,6 +323,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op9_simhash,
             op10_language_id,
             op11_filter_interaction,
+            op12_quality_classifier,
             op13_source_divergence,
         )
     }

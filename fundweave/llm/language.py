@@ -6,11 +6,12 @@ wins. Short blocks keep the dictionary, rather than the text's own repetitions,
 blocks of the whole text count. The margin is the saving of the best total against the second one;
 a text whose margin is narrow is rejected.
 
-Letters alone carry the language: texts and dictionaries are lower-cased and everything else becomes
-one blank.
+Letters alone carry the language: texts and dictionaries are lower-cased, and everything that is neither
+a letter nor a mark on one (Unicode categories L and M) becomes one blank.
 
-Only the dictionaries are learnt from a bounded sample: `per_language` documents of a language by a
-hash of their id, at most `SLICE` characters from the middle of each, `DICTIONARY` bytes in all.
+Only the dictionaries are learnt from a bounded sample: `per_language` documents of a language with a
+letter, by a hash of their id, one row per id. Each gives the letters of `SLICE` characters from its
+middle, cut to an equal share of the `DICTIONARY` bytes, so all of them are in the dictionary.
 
 Defined cases: null texts and texts without a letter are `und` with score 0 and rejected; with one
 language learnt the margin is 0 and nothing but `und` is rejected; with none learnt everything is
@@ -20,20 +21,22 @@ empty result; rows with null ids or languages are not learnt from; other columns
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundweave.operators.ordering import top_k
+
 from .common import class_sample, col, fresh, ship
 
 PER_LANGUAGE = 400
-SLICE = 2000
+SLICE = 600
 DICTIONARY = 96 * 1024
 BLOCK = 2048
 LEVEL = 6
@@ -41,11 +44,14 @@ LEVEL = 6
 MARGIN = 0.02
 UNKNOWN = "und"
 
-_OTHER = re.compile(r"[\W\d_]+")
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+")
+_LETTER = regex.compile(r"\p{L}")
 
 
 def letters(text: str | None) -> str:
-    return _OTHER.sub(" ", (text or "").lower()).strip()
+    """The letters of a text with their marks; empty if there is no letter."""
+    kept = _OTHER.sub(" ", (text or "").lower()).strip()
+    return kept if kept.isascii() or _LETTER.search(kept) else ""
 
 
 def learn(
@@ -55,29 +61,27 @@ def learn(
     lang_col: str = "lang",
     per_language: int = PER_LANGUAGE,
 ) -> dict[str, bytes]:
-    """A dictionary's content for each language of `docs`. The sample is chosen on narrow columns;
-    the driver gets `per_language` slices of a language at most."""
+    """A dictionary's content for each language of `docs`. The driver gets `per_language` slices of a
+    language at most: one row for each sampled id and language."""
     rows = docs.select(
         col(id_col).alias("doc_id"), col(lang_col).alias("lang"), col(text_col).alias("text")
     )
-    some = rows.filter(F.col("text").rlike(r"\p{L}"))
-    # Few more than asked for are chosen unseen, as not every text has a letter.
-    picked = class_sample(rows.filter(F.col("text").isNotNull()), "doc_id", "lang", 2 * per_language)
-    ids = F.broadcast(picked.select(F.col("doc_id").alias("p_id")).distinct())
+    some = rows.filter(F.col("text").rlike(r"\p{L}") & F.col("lang").isNotNull())
+    picked = class_sample(some.select("doc_id", "lang").distinct(), "doc_id", "lang", per_language)
+    ids = F.broadcast(picked.select(F.col("doc_id").alias("p_id"), F.col("lang").alias("p_lang")))
     middle = F.greatest(F.lit(1), (F.length("text") / 2 - SLICE / 2).cast("int"))
-    taken = (
-        some.join(ids, F.col("doc_id") == F.col("p_id"), "left_semi")
-        .filter(F.col("lang").isNotNull())
-        .select("lang", F.xxhash64("doc_id").alias("h"), F.substr("text", middle, F.lit(SLICE)).alias("s"))
+    taken = some.join(ids, (F.col("doc_id") == F.col("p_id")) & (F.col("lang") == F.col("p_lang"))).select(
+        "lang", "doc_id", F.substr("text", middle, F.lit(SLICE)).alias("s")
     )
+    one = top_k(taken, ["lang", "doc_id"], [F.xxhash64("s"), F.col("s")], 1)
     parts: dict[str, list[tuple[int, str]]] = {}
-    for lang, h, s in taken.toLocalIterator():
+    for lang, h, s in one.select("lang", F.xxhash64("doc_id").alias("h"), "s").toLocalIterator():
         parts.setdefault(lang, []).append((h, letters(s)))
-    out = {}
-    for lang in sorted(parts):
-        text = " ".join(s for _, s in sorted(parts[lang])).encode()
-        out[lang] = text[:DICTIONARY]
-    return out
+    share = max(1, DICTIONARY // per_language - 1)
+    return {
+        lang: b" ".join(s.encode()[:share].decode(errors="ignore").encode() for _, s in sorted(parts[lang]))
+        for lang in sorted(parts)
+    }
 
 
 @lru_cache(maxsize=4)

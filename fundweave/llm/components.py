@@ -1,7 +1,8 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
 Every step is a grouped minimum and one join; labels and edges stay in tables. Each step is written
-to the shared folder, so lineage stays short and a lost executor costs a re-read.
+to the shared folder, so lineage stays short and a lost executor costs a re-read; steps that nobody
+reads any more are deleted.
 """
 
 from __future__ import annotations
@@ -13,11 +14,13 @@ from fundweave.sources.workspace import cut, discard
 
 
 def _stars(pairs: DataFrame) -> DataFrame:
-    """Hangs every v of (u, v) on the least node next to u (u itself included)."""
+    """Hangs every v of (u, v) on the least node next to u (u itself included). A hub has as many pairs
+    as its component has nodes: keys in a struct make Spark shuffle both sides of the join, which lets
+    it split the hub's."""
     least = pairs.groupBy("u").agg(F.min("v").alias("m")).select(
-        F.col("u").alias("c"), F.least("u", "m").alias("m")
+        F.struct("u").alias("c"), F.least("u", "m").alias("m")
     )
-    return pairs.join(least, F.col("u") == F.col("c")).select("u", "v", "m")
+    return pairs.join(least, F.struct("u") == F.col("c")).select("u", "v", "m")
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -35,14 +38,14 @@ def _small(edges: DataFrame) -> DataFrame:
 def roots(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of `edges` (a, b), the root being the least node of its
     component. An empty table gives an empty result; loops and repeated edges do no harm."""
-    spark = edges.sparkSession
+    spark, mark, last = edges.sparkSession, None, []
     now = cut(
         edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
         .filter("u != v")
         .distinct(),
         "edges",
+        last,
     )
-    mark = None
     while True:
         state = now.agg(
             F.count("*").alias("n"),
@@ -50,9 +53,9 @@ def roots(edges: DataFrame) -> DataFrame:
         ).first()
         if state.n == 0 or (state.n, state.h) == mark:
             break
-        mark, old, staged = (state.n, state.h), now, []
-        large = cut(_large(old).distinct(), "large", staged)
-        now = cut(_small(large), "small")
-        discard(spark, staged)
+        mark, done, last = (state.n, state.h), last, []
+        large = cut(_large(now).distinct(), "large", done)
+        now = cut(_small(large), "small", last)
+        discard(spark, done)
     nodes = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

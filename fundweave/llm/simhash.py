@@ -14,10 +14,11 @@ Inside a shard an ordinary vantage-point tree (whole fingerprints, median thresh
 queries with the bounds d - r <= m and d + r > m, and its leaves are compared exactly. A shard gives
 back a spanning forest of the links it found, never its pairs.
 
-Shards that got far more than their share, as a dense cloud of near copies makes, are left to an
-exact way that does not depend on density (radius 2 or less): two fingerprints are at most 2 bits
-apart if and only if some value is at most 1 bit from both. Each fingerprint gives its 65 such
-values; at most 65 fingerprints share one.
+Shards that got far more than their share, as a dense cloud of near copies makes, are split by further
+levels of the same tree: a vantage point of their own, whole fingerprints, the median distance as
+threshold. Where a cloud is so dense that most fingerprints would have to go both ways, a level gains
+nothing; such a shard's members and queries are dealt into cells of a bounded number of either, and a
+cell is searched by its own tree. No pair is lost on either way, and no task holds more than a cell.
 
 Equal fingerprints are one node before the search, so exact copies cost nothing there.
 
@@ -35,6 +36,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fundweave.sources.workspace import cut
 
@@ -43,8 +45,11 @@ from .common import col, only_rows, ship, whole
 
 #: Distinct fingerprints per shard that the number of levels aims at.
 SHARD = 8192
-#: A shard with more than this many members and queries goes the other exact way.
+#: A shard with more than this many members and queries is split by further levels.
 DENSE = 16 * SHARD
+#: Further levels, and the growth of a shard's rows beyond which a level gains nothing.
+DEEPER = 24
+GROWTH = 1.6
 #: Fingerprints of a leaf inside a shard, compared one by one.
 LEAF = 48
 
@@ -213,15 +218,59 @@ def _forest_of_shard(radius: int):
     return run
 
 
-def midpoint_links(fps: DataFrame) -> DataFrame:
-    """(a, b) links that connect exactly what 2 bits or fewer connect, by shared values at most one
-    bit away. Spark groups the values; a group has 65 fingerprints at most."""
-    flips = F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit(_signed(1 << i))) for i in range(64)])
-    near = fps.select("fp", F.explode(flips).alias("value"))
-    shared = near.groupBy("value").agg(F.collect_list("fp").alias("all")).filter(F.size("all") > 1)
-    return shared.select(
-        F.explode("all").alias("a"), F.array_min("all").alias("b")
-    ).filter("a != b").distinct()
+def deeper(dealt: DataFrame, radius: int, most: int) -> DataFrame:
+    """`dealt` (shard, fp, home) with every shard of more than `most` rows split by further levels, as
+    far as they gain something. Thresholds are joined as one row for each crowded shard."""
+    done, seen = [], dealt
+    for level in range(DEEPER):
+        counts = seen.groupBy("shard").agg(
+            F.count("*").alias("n"),
+            F.min(F.when(F.col("home"), F.struct(F.xxhash64("fp", F.lit(level)).alias("h"), "fp"))).alias("v"),
+        )
+        points = cut(
+            counts.filter(F.col("n") > most).select(F.struct("shard").alias("c"), "n", F.col("v.fp").alias("v")),
+            "crowded",
+        )
+        if points.isEmpty():
+            break
+        met = seen.join(points, F.struct("shard") == F.col("c"), "left")
+        met = met.withColumn("d", F.bit_count(F.col("fp").bitwiseXOR(F.col("v"))))
+        met = cut(met.select("shard", "fp", "home", "d"), "measured")
+        done.append(met.filter("d IS NULL").select("shard", "fp", "home"))
+        crowd = met.filter("d IS NOT NULL")
+        # At most 65 distances in a shard.
+        by_d = crowd.groupBy("shard", "d").agg(F.count("*").alias("n"), F.sum(F.col("home").cast("int")).alias("homes"))
+        of_shard = Window.partitionBy("shard")
+        halves = by_d.withColumn("upto", F.sum("homes").over(of_shard.orderBy("d"))).withColumn(
+            "homes", F.sum("homes").over(of_shard)
+        )
+        median = F.min(F.when(2 * F.col("upto") >= F.col("homes"), F.col("d"))).over(of_shard)
+        halves = halves.withColumn("m", median)
+        rows = F.sum("n")
+        both = F.sum(F.when((F.col("d") <= F.col("m") + radius) & (F.col("d") > F.col("m") - radius), F.col("n")))
+        cuts = halves.groupBy("shard").agg(
+            F.first("m").alias("m"), ((rows + F.coalesce(both, F.lit(0))) / rows <= GROWTH).alias("gains"),
+            (F.max("upto") > F.max(F.when(F.col("d") <= F.col("m"), F.col("upto")))).alias("splits"),
+        )
+        cuts = cuts.select(F.struct("shard").alias("c"), "m", (F.col("gains") & F.col("splits")).alias("go"))
+        placed = crowd.join(cuts, F.struct("shard") == F.col("c"))
+        done.append(placed.filter(~F.col("go")).select("shard", "fp", "home"))
+        side = lambda beyond, asked: F.when(
+            asked,
+            F.struct(
+                F.xxhash64("shard", F.lit(level), F.lit(beyond)).alias("shard"), "fp",
+                (F.col("home") & ((F.col("d") > F.col("m")) == F.lit(beyond))).alias("home"),
+            ),
+        )
+        sides = F.array(
+            side(False, F.col("d") - radius <= F.col("m")), side(True, F.col("d") + radius > F.col("m"))
+        )
+        split = placed.filter("go").select(F.explode(F.array_compact(sides)).alias("x")).select("x.*")
+        seen = cut(split, "deeper")
+    out = seen
+    for part in done:
+        out = out.unionByName(part)
+    return out
 
 
 def links(nodes: DataFrame, radius: int = 2, shard: int = SHARD, dense: int = DENSE) -> DataFrame:
@@ -248,17 +297,38 @@ def links(nodes: DataFrame, radius: int = 2, shard: int = SHARD, dense: int = DE
                 )
 
     dealt = cut(nodes.select("fp").mapInArrow(deal, "shard bigint, fp bigint, home boolean"), "shards")
-    over = cut(dealt.groupBy("shard").count().filter(F.col("count") > dense), "dense")
-    sparse, crowded = dealt, None
-    if not over.isEmpty():
-        if radius > 2:
-            raise ValueError("shards this dense can be searched at radius 2 or less only")
-        sparse = dealt.join(over, "shard", "left_anti")
-        crowded = dealt.join(over, "shard", "left_semi").select("fp").distinct()
-    found = sparse.groupBy("shard").applyInArrow(_forest_of_shard(radius), "a bigint, b bigint")
-    if crowded is not None:
-        found = found.union(midpoint_links(cut(crowded, "crowded")))
-    return found
+    found = deeper(dealt, radius, dense)
+    return celled(found, max(shard, dense)).groupBy("shard", "row", "column").applyInArrow(
+        _forest_of_shard(radius), "a bigint, b bigint"
+    )
+
+
+def celled(dealt: DataFrame, most: int) -> DataFrame:
+    """Deals each shard into cells: members by `row`, every member and query by `column`, about `most` of
+    either in a cell. A shard of usual size is one cell; its rows are not repeated."""
+    sizes = dealt.groupBy("shard").agg(
+        F.greatest(F.ceil(F.count_if("home") / most), F.lit(1)).alias("rows"),
+        F.ceil(F.count("*") / most).alias("columns"),
+    )
+    big = cut(sizes.filter("rows > 1 OR columns > 1").select(F.struct("shard").alias("c"), "rows", "columns"), "big")
+    if big.isEmpty():
+        return dealt.withColumns({"row": F.lit(0).cast("bigint"), "column": F.lit(0).cast("bigint")})
+    one = F.lit(1).cast("bigint")
+    met = dealt.join(big, F.struct("shard") == F.col("c"), "left").select(
+        "shard", "fp", "home", F.coalesce("rows", one).alias("rows"), F.coalesce("columns", one).alias("columns")
+    )
+    met = met.withColumns(
+        {"row": F.pmod(F.xxhash64("fp"), F.col("rows")), "column": F.pmod(F.xxhash64("fp", F.lit(1)), F.col("columns"))}
+    )
+    upto = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    cell = lambda r, c, h: F.struct(r.alias("row"), c.alias("column"), h.alias("home"))
+    # A query asks every row of its column; a member is also there for the other columns of its row.
+    asks = F.transform(upto("rows"), lambda r: cell(r, F.col("column"), F.col("home") & (r == F.col("row"))))
+    others = F.transform(
+        F.filter(upto("columns"), lambda c: F.col("home") & (c != F.col("column"))),
+        lambda c: cell(F.col("row"), c, F.lit(True)),
+    )
+    return met.select("shard", "fp", F.explode(F.concat(asks, others)).alias("x")).select("shard", "fp", "x.*")
 
 
 def classes(
@@ -278,7 +348,9 @@ def classes(
     member = cut(components.roots(links(nodes, radius, shard, dense)), "members")
     rooted = nodes.join(member, F.col("fp") == F.col("node")).select("fp", "root", "least")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    linked = rooted.join(least, "root").select(F.col("fp").alias("l_fp"), "component_id", "root")
+    # One component may hold most fingerprints: keys in a struct let Spark split it.
+    of_root = least.select(F.struct("root").alias("c"), "component_id")
+    linked = rooted.join(of_root, F.struct("root") == F.col("c")).select(F.col("fp").alias("l_fp"), "component_id", "root")
     of_node = cut(
         nodes.join(linked, F.col("fp") == F.col("l_fp"), "left").select(
             F.col("fp").alias("n_fp"),

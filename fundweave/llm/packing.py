@@ -2,14 +2,16 @@
 
 Sequences longer than the largest length are cut into chunks of it. Inside a group the chunks go,
 longest first, into the open bin with the least room that still takes them; a new bin is opened only
-where none does. Which length a new bin gets is optimised jointly: a plan fixes the length that bins
-are opened with (longer chunks get the next permitted one that holds them), each plan is carried out
-in full, each of its bins is shrunk to the smallest permitted length that holds its contents, and
-the plan of least total cost wins. A bin costs its length times `per_token`, plus `per_bin`, plus
-`per_pair` times the length squared (attention).
-
-Groups hold about `GROUP` chunks each and are dealt by a hash of the chunk, so no key decides their
-size. Equal rows are counted before the shuffle and dealt out in lots of `LOT`, so a group does not
+where none does. Which length a new bin gets is optimised jointly: a plan names, for each class of chunks
+(those that need the same permitted length), the length that a bin opened for one of them gets. A plan
+is carried out in full, each of its bins is shrunk to the smallest permitted length that holds its
+contents, and its cost is the sum over bins of the length times `PER_TOKEN`, plus `PER_BIN`, plus
+`PER_PAIR` times the length squared (attention). The search begins with the cheapest plan of one opening
+length for all, and then changes one class at a time, the largest first, as long as a sweep over the
+classes makes it cheaper. A plan with long and short bins side by side wins where it costs less.
+
+Groups hold about `GROUP` chunks each, however long the sequences, and are dealt by a hash of the chunk,
+so no key decides their size. Equal rows are counted before the shuffle and dealt out in lots of `LOT`, so a group does not
 grow with the copies of one row either. A group's bins lose at most a few part-filled ones.
 
 Defined cases: null and negative lengths count as 0; a sequence of length 0 is one chunk of length
@@ -19,6 +21,7 @@ occur, told apart by `copy`; an empty table gives an empty result; other columns
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 
 import numpy as np
@@ -43,9 +46,13 @@ def fitting(lengths: Sequence[int], need: int) -> int:
     return min((c for c in lengths if c >= need), key=cost)
 
 
-def best_fit(sizes: Sequence[int], lengths: Sequence[int], opening: int) -> tuple[list[int], list[int]]:
-    """(bin of each chunk, contents of each bin) for `sizes` in falling order; new bins are opened
-    with `opening`, or with what the chunk needs. Rooms are found by the bits of one integer."""
+def best_fit(
+    sizes: Sequence[int], lengths: Sequence[int], opening: int | Sequence[int]
+) -> tuple[list[int], list[int]]:
+    """(bin of each chunk, contents of each bin) for `sizes` in falling order; a new bin is opened with
+    `opening`, one length or one for each class of chunks, or with what the chunk needs. Rooms are found
+    by the bits of one integer."""
+    each = [opening] * len(lengths) if isinstance(opening, int) else opening
     bins: list[int] = []
     room: dict[int, list[int]] = {}
     left: list[int] = []
@@ -60,7 +67,8 @@ def best_fit(sizes: Sequence[int], lengths: Sequence[int], opening: int) -> tupl
             if not stack:
                 rooms &= ~(1 << free)
         else:
-            b, free = len(left), opening if opening >= size else fitting(lengths, size)
+            free = each[bisect_left(lengths, size)]
+            b, free = len(left), free if free >= size else fitting(lengths, size)
             left.append(free)
             filled.append(0)
         free -= size
@@ -72,16 +80,42 @@ def best_fit(sizes: Sequence[int], lengths: Sequence[int], opening: int) -> tupl
     return bins, filled
 
 
+#: A plan carried out: its cost, the bin of each chunk, the length of each bin.
+Carried = tuple[float, list[int], list[int]]
+
+
+def carried_out(sizes: Sequence[int], lengths: Sequence[int], opening: int | Sequence[int]) -> Carried:
+    bins, filled = best_fit(sizes, lengths, opening)
+    shrunk = [fitting(lengths, f) for f in filled]
+    return sum(map(cost, shrunk)), bins, shrunk
+
+
 def pack(sizes: Sequence[int], lengths: Sequence[int]) -> tuple[list[int], list[int]]:
-    """(bin of each chunk, length of each bin) of the cheapest plan; of equal plans, the one that
-    opens the shorter bins."""
-    best = None
-    for opening in lengths:
-        bins, filled = best_fit(sizes, lengths, opening)
-        shrunk = [fitting(lengths, f) for f in filled]
-        total = sum(map(cost, shrunk))
-        if best is None or total < best[0]:
-            best = (total, bins, shrunk)
+    """(bin of each chunk, length of each bin) of the cheapest plan with one opening length; of equal
+    plans, the one that opens the shorter bins."""
+    _, bins, shrunk = min((carried_out(sizes, lengths, c) for c in lengths), key=lambda p: p[0])
+    return bins, shrunk
+
+
+def pack_jointly(sizes: Sequence[int], lengths: Sequence[int]) -> tuple[list[int], list[int]]:
+    """(bin of each chunk, length of each bin) of the cheapest plan found over opening lengths by class
+    of chunks; never dearer than `pack`."""
+    plans = [[c] * len(lengths) for c in lengths]
+    tried = [carried_out(sizes, lengths, plan) for plan in plans]
+    at = min(range(len(plans)), key=lambda i: tried[i][0])
+    plan, best = plans[at], tried[at]
+    there = sorted({bisect_left(lengths, s) for s in sizes}, reverse=True)
+    better = len(there) > 1
+    while better:
+        better = False
+        for k in there:
+            for length in lengths[k:]:
+                if length == max(plan[k], lengths[k]):
+                    continue
+                other = [*plan[:k], length, *plan[k + 1 :]]
+                found = carried_out(sizes, lengths, other)
+                if found[0] < best[0]:
+                    plan, best, better = other, found, True
     return best[1], best[2]
 
 
@@ -119,7 +153,9 @@ def packed(
     bin_id (group and number), position in the bin, bin_length."""
     lengths = tuple(sorted(set(lengths)))
     ship(df.sparkSession)
-    groups = max(1, -(-df.count() // group))
+    n = F.greatest(F.ceil(F.coalesce(length.cast("bigint"), F.lit(0)) / lengths[-1]), F.lit(1))
+    pieces = df.agg(F.sum(n)).first()[0] or 0  # one number
+    groups = max(1, -(-pieces // group))
     id_type = df.schema[id_col].dataType.simpleString()
     dealt = chunks(df, length, id_col, lengths[-1]).withColumn(
         "group", F.pmod(F.xxhash64("doc_id", "lot", "chunk", "length"), F.lit(groups))
@@ -135,7 +171,7 @@ def packed(
         size = rows.column("length").to_numpy()[which]
         order = np.argsort(-size, kind="stable")
         which, copy, size = which[order], copy[order], size[order]
-        bins, shrunk = pack(size.tolist(), lengths)
+        bins, shrunk = pack_jointly(size.tolist(), lengths)
         bins = np.asarray(bins, np.int64)
         by_bin = np.argsort(bins, kind="stable")
         which, copy, size, bins = which[by_bin], copy[by_bin], size[by_bin].astype(np.int64), bins[by_bin]

@@ -56,7 +56,8 @@ _STEP = 0x9E3779B97F4A7C15
 
 
 def key_of(doc_id, copy: int) -> bytes:
-    return f"{doc_id}#{copy}".encode()
+    """The copy-th row of an id; no id is told apart from any id."""
+    return (f"-#{copy}" if doc_id is None else f"={doc_id}#{copy}").encode()
 
 
 def key_hashes(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -164,11 +165,21 @@ class Index:
         return Index(levels, rest, take("<u4", n), take("<u8", n), take("<u8", n), width)
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme. Without one it lies in the cluster's default store, where Spark would
+    look for it, and not on the disk of whoever writes."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if path.toUri().getScheme():
+        return folder
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString()
+
+
 def _store(folder: str) -> tuple[afs.FileSystem, str]:
-    """The store of a folder, given as a URI or a plain path."""
-    if "://" in folder or folder.startswith("file:"):
-        return afs.FileSystem.from_uri(folder)
-    return afs.LocalFileSystem(), folder
+    """The store of a qualified folder, and the folder's path in it."""
+    if folder.startswith("file:"):
+        return afs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return afs.FileSystem.from_uri(folder)
 
 
 #: A stretch that is a word of letters which lower-casing and composition leave one to one, and signs
@@ -276,6 +287,7 @@ def write(
     `folder` and returns the ledger, a stored table with one row per document: shard, doc_id, copy,
     n_ids. `path` must be readable on every executor."""
     ship(df.sparkSession)
+    folder = qualified(df.sparkSession, folder)
     id_type = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -393,6 +405,7 @@ def read(ledger: DataFrame, folder: str, summary, fields: str) -> DataFrame:
     """Looks every document of the ledger up in its shard by key. `summary(ids)` gives the values of
     `fields` (DDL) for a document's ids. Returns doc_id, start, n_ids and these."""
     ship(ledger.sparkSession)
+    folder = qualified(ledger.sparkSession, folder)
     id_type = ledger.schema["doc_id"].dataType.simpleString()
     kinds = T.StructType.fromDDL(fields).names
 

@@ -22,6 +22,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from fundweave.sources import workspace
 from fundweave.llm import (
     bytebpe,
     chat,
@@ -105,9 +106,71 @@ def test_chat_round_trip_and_machine(spark):
     assert chat.formatted(turns(spark, [])).count() == 0
 
 
+CHATML = chat.Template(header="<|im|>", colon="\n", end="<|end|>\n")
+LETTERS = chat.Template(header="[b]", colon="=c", end="l/")
+
+
+@pytest.mark.parametrize("template", [chat.DEFAULT, CHATML, LETTERS])
+def test_chat_round_trip_with_any_template(spark, template):
+    marks = [template.header, template.colon, template.end, template.header.strip(), template.end.strip()]
+    r = random.Random(4)
+    pieces = [*marks, "\\", "\\b", "\\l", "\\h", "x", "\n", "#", "<", "|", "b", "l", "/", "=", ":", ""]
+    texts = ["".join(r.choice(pieces) for _ in range(r.randint(0, 9))) for _ in range(150)]
+    roles = ["user", "assistant", "b" + template.colon + "x", "\\c" + template.end, ":", ""]
+    rows = [(i // 3, i, r.choice(roles), t, "x") for i, t in enumerate(texts)]
+    out = chat.formatted(turns(spark, rows), template)
+    back = out.select(
+        "conv_id", "segments",
+        chat.read_turns(F.col("formatted"), template).alias("t"),
+        chat.loss_text(F.col("segments"), template).alias("l"),
+    ).collect()
+    for r in back:
+        mine = [x for x in rows if x[0] == r.conv_id]
+        assert [(t.role, t.text) for t in r.t] == [(x[2], x[3]) for x in mine]
+        assert r.l == "".join(x[3] for x in mine if x[2] == "assistant")
+        for s in r.segments[1::3]:
+            assert template.end.strip() not in s.text and template.header.strip() not in s.text
+
+
+@pytest.mark.parametrize("marks", [{"end": "aXa"}, {"end": "  "}, {"header": "\\h"}, {"colon": ""}])
+def test_chat_refuses_templates_that_cannot_be_read_back(marks):
+    with pytest.raises(ValueError):
+        chat.Template(**marks)
+
+
 # ---------------------------------------------------------------- packing
 
 
+@settings(max_examples=60, deadline=None, derandomize=True)
+@given(st.lists(st.integers(0, 64), max_size=80))
+def test_joint_packing_is_never_dearer(sizes):
+    sizes = sorted(sizes, reverse=True)
+    lengths = (16, 32, 64)
+    bins, shrunk = packing.pack_jointly(sizes, lengths)
+    filled = Counter()
+    for b, s in zip(bins, sizes):
+        filled[b] += s
+    assert all(filled[b] <= length for b, length in enumerate(shrunk)) and len(bins) == len(sizes)
+    assert sum(map(packing.cost, shrunk)) <= sum(map(packing.cost, packing.pack(sizes, lengths)[1])) + 1e-9
+
+
+def test_joint_packing_opens_long_and_short_bins():
+    """Some mix of sizes where bins of two lengths, side by side, beat every single opening length."""
+    r, lengths, gained = random.Random(2), (16, 32, 64), 0
+    for _ in range(300):
+        sizes = sorted((r.choice((3, 9, 11, 17, 25, 40)) for _ in range(12)), reverse=True)
+        joint, one = (sum(map(packing.cost, p(sizes, lengths)[1])) for p in (packing.pack_jointly, packing.pack))
+        gained += joint < one - 1e-9
+    assert gained > 0
+
+
+def test_packing_groups_follow_chunks(spark):
+    """Few rows with long texts make many groups."""
+    got = packing.packed(spark.range(10).select(F.col("id").alias("doc_id")), F.lit(64_000), lengths=(16, 64), group=500)
+    assert got.count() == 10_000
+    assert len({r.bin_id.split("-")[0] for r in got.select("bin_id").collect()}) >= 15
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 64), max_size=80))
 def test_packing_fits_and_shrinks(sizes):
@@ -305,6 +368,22 @@ def test_token_files_read_back(spark, odd, empty):
     assert tokenfile.read(none, folder, lambda ids: (b"",), "raw binary").count() == 0
 
 
+def test_token_files_tell_no_id_from_any_id(spark):
+    rows = [(None, "one two"), ("None", "three"), ("", "four"), ("-", "five"), ("None", "six seven eight")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    folder = tokenfile.folder_for(spark)
+    back = tokenfile.read(tokenfile.write(df, folder, WORD, end_id=2), folder, lambda ids: (ids.astype("<u4").tobytes(),), "raw binary")
+    model = tokenfile.word_encoder(WORD).full
+    want = Counter((i, tuple([*model.encode(t, add_special_tokens=False).ids, 2])) for i, t in rows)
+    assert Counter((r.doc_id, tuple(np.frombuffer(r.raw, "<u4").tolist())) for r in back.collect()) == want
+
+
+def test_token_files_go_to_the_cluster_default_store(spark):
+    """A folder without a scheme is the default store's, as Spark reads it."""
+    assert tokenfile.qualified(spark, "/shared/x").startswith("file:/")
+    assert tokenfile.qualified(spark, "hdfs://h:1/x") == "hdfs://h:1/x"
+
+
 # ---------------------------------------------------------------- quality
 
 
@@ -520,7 +599,8 @@ def clouds(seed, n):
         x = r.getrandbits(64)
         for _ in range(20):
             points.append(x)
-            x ^= sum(1 << r.randrange(64) for _ in range(r.randint(1, 3)))
+            for bit in r.sample(range(64), r.randint(1, 3)):
+                x ^= 1 << bit
     return points
 
 
@@ -570,6 +650,68 @@ def test_links_connect_what_they_should(spark, shard, dense):
         assert got.setdefault(want[x], root.get(signed(x), x)) == root.get(signed(x), x)
 
 
+def ball(r, center, n):
+    """n points at most 2 bits from the center: a cloud that no threshold splits well."""
+    near = [center ^ (1 << a) ^ (1 << b) for a in range(64) for b in range(a)]
+    return r.sample(near, n)
+
+
+@pytest.mark.parametrize("dense", [30, 400, 5000])
+def test_crowded_shards_are_split_without_losing_a_link(spark, dense):
+    """Loose clouds gain from further levels, balls do not and are dealt into cells."""
+    r = random.Random(8)
+    center = r.getrandbits(64)
+    loose = [center ^ sum(1 << b for b in r.sample(range(64), 9)) for _ in range(700)]
+    points = sorted({*loose, *ball(r, center ^ (0xFFFF << 20), 500), *clouds(5, 300)})
+    nodes = spark.createDataFrame([(signed(x),) for x in points], "fp bigint")
+    edges = simhash.links(nodes, 2, 200, dense)
+    root = {r.node: r.root for r in components.roots(edges).collect()}
+    want, got = plain_components(points), {}
+    sizes = Counter(want.values())
+    for x in points:
+        assert (signed(x) in root) == (sizes[want[x]] > 1)
+        assert got.setdefault(want[x], root.get(signed(x), x)) == root.get(signed(x), x)
+
+
+def test_cells_bring_every_member_to_every_query(spark):
+    rows = [(s, f, f % 3 > 0) for s, n in ((1, 40), (2, 3)) for f in range(100 * s, 100 * s + n)]
+    dealt = spark.createDataFrame(rows, "shard bigint, fp bigint, home boolean")
+    cells = {}
+    for r in simhash.celled(dealt, 8).collect():
+        cells.setdefault((r.shard, r.row, r.column), []).append((r.fp, r.home))
+    met = {(s, x, q) for (s, _, _), c in cells.items() for x, home in c if home for q, _ in c}
+    assert met >= {(s, x, q) for s, x, home in rows if home for t, q, _ in rows if s == t}
+    assert all(len(c) == len({f for f, _ in c}) for c in cells.values())
+    assert len(cells) > 10 and sum(s == 2 for s, _, _ in cells) == 1
+
+
+def test_hubs_are_split(spark):
+    """All pairs of a large star hang on one node: Spark must be able to split its side of the join."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "20",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        star = workspace.cut(spark.range(1, 300_000).select(F.col("id").alias("u"), F.lit(0).cast("bigint").alias("v")))
+        found = components._stars(star.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        assert found.count() == 299_999
+        found.write.format("noop").mode("overwrite").save()
+        plan = found._jdf.queryExecution().executedPlan()
+        found.collect()
+        assert "skew=true" in plan.toString()
+        assert {r.root for r in components.roots(star.select(F.col("u").alias("a"), F.col("v").alias("b"))).select("root").distinct().collect()} == {0}
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_simhash_equals_plain(spark, odd, empty, docs):
     for df in (odd, docs):
         rows = df.collect()
@@ -622,6 +764,48 @@ def test_language_odd_rows(spark, odd, empty, docs):
     assert language.known_documents(dotted, docs).columns == dotted.columns
 
 
+def test_language_letters_by_category():
+    assert language.letters("हिन्दी भाषा ½ Ⅷ x²") == "हिन्दी भाषा x"
+    assert language.letters("½ ²³ Ⅷ ① _ 12 ́ ्") == "" and language.letters(None) == ""
+    assert language.letters("ÀB\u0301c-d’e") == "àb\u0301c d e"
+
+
+def test_language_equals_plain(docs):
+    """Sizes by one compressor for each text and language, with the dictionary's raw content."""
+    import zstandard
+
+    model = {k: v for k, v in sorted({"en": b"the and of to in that", "de": b"der die und das nicht", "fr": b"le la les et des"}.items())}
+    compressors = language._compressors(tuple(model.items()))
+    texts = [r.text for r in docs.limit(40).collect()] + ["the and of", "und das nicht", "zzz", "the", "½ ²", "हिन्दी", None]
+    for text in texts:
+        data = language.letters(text).encode()
+        if not data:
+            assert language.classify(text, compressors) == ("und", 0.0, 0.0)
+            continue
+        sizes = {}
+        for lang, content in model.items():
+            known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            one = lambda b: zstandard.ZstdCompressor(
+                level=language.LEVEL, dict_data=known, write_checksum=False, write_content_size=False, write_dict_id=False
+            ).compress(b)
+            sizes[lang] = sum(len(one(data[i : i + language.BLOCK])) for i in range(0, len(data), language.BLOCK))
+        (a, best), (b, second) = sorted(((n, lang) for lang, n in sizes.items()))[:2]
+        assert language.classify(text, compressors) == (best, pytest.approx(b / (a + b)), pytest.approx(1 - a / b))
+
+
+def test_language_samples_rows_and_uses_all_of_them(spark):
+    rows = [(i % 50 if i < 300 else i, "en" if i % 2 else "de", f"wort{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} " * 200) for i in range(600)]
+    rows += [(1000 + i, "en", "½ 12") for i in range(50)] + [(5000, None, "text"), (None, "en", "text")]
+    model = language.learn(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"), per_language=60)
+    assert sorted(model) == ["de", "en"]
+    for content in model.values():
+        assert len(content) <= language.DICTIONARY
+        assert 50 <= len({w for w in content.decode().split() if len(w) == 6}) <= 60
+    one = language.learn(spark.createDataFrame(rows[:1], "doc_id bigint, lang string, text string"))
+    found, names = language.identify(spark.createDataFrame([("a",), ("½",)], "text string"), one)
+    assert {(r[names["lang_pred"]], r[names["rejected"]]) for r in found.collect()} == {("de", False), ("und", True)}
+
+
 # ---------------------------------------------------------------- samples and pipeline
 
 

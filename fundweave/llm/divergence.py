@@ -11,18 +11,19 @@ minimal acyclic transducers (`transducer`) of at most `SHARD` terms of one langu
 transducer's first one are counted, so a term's ordinal is its place among all kept terms of its
 language: ordinals stand for terms from there on, also where ties are broken.
 
-Recounting. A second pass cuts the whole texts into terms again and counts them by group within the
-task, in bounded tables. Counts are sent to the transducer of their range, in `LOTS` lots, and
-stream through it: a task holds one transducer and one batch. Terms that are not kept fall out there.
+Recounting. A second pass cuts the whole texts into terms again and counts them by group, some
+megabytes of text at a time. Counts are packed and sent to the transducer of their range, in `LOTS`
+lots, and stream through it: a task holds one transducer and one group's counts. Terms that are not
+kept fall out there. What remains is one packed row for each group and transducer.
 
-Pairs. Sources are compared in blocks of `BLOCK` ordinals and tiles of `TILE` sources, as dense
-matrices that contain every kept term and source, absent ones with their smoothed share; blocks give
-back one sum a pair. A result of all pairs has as many rows as there are pairs, but nothing else does.
+Pairs. Sources are compared in tiles of `TILE` sources, as dense matrices over the terms of one
+transducer, absent terms with their smoothed share; a matrix gives back one sum a pair. The result of
+all pairs has as many rows as there are pairs, but nothing else does.
 
 What the driver and every task see whole is the directory of transducers: one row for each `SHARD`
 kept terms, and one at least per language and range partition.
 
-All arithmetic is on whole numbers: products that can outgrow 64 bits are decimals.
+All arithmetic is on whole numbers; products that can outgrow 64 bits are Python's.
 
 Defined cases: null texts, languages and sources are empty strings; texts without terms count their
 group in; a language without kept terms has pairs of value 0 and no terms; a language with one source
@@ -33,17 +34,17 @@ own; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import bisect
-from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from fundweave.operators.ordering import top_k
 from fundweave.sources.workspace import cut
 
 from .common import col, ship, whole
@@ -52,54 +53,83 @@ from .transducer import Transducer
 #: Terms of one transducer, lots that a transducer's counts are dealt in.
 SHARD = 1 << 14
 LOTS = 8
-#: Entries of a task's counts before they are handed on.
-HOLD = 1 << 18
-#: Ordinals and sources compared at a time.
-BLOCK = 512
+#: Terms and sources compared at a time.
+BLOCK = 2048
 TILE = 64
 BILLION = 1_000_000_000
 
-_LETTERS = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)
+#: Bytes of text that are cut into terms at a time.
+PIECE = 1 << 25
+
+#: What each byte becomes: A-Z lower-cased, other letters and bytes beyond ASCII themselves, the rest blanks.
+_LETTERS = np.asarray(
+    [b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256)], np.uint8
 )
 
 
-def terms(text: bytes) -> list[bytes]:
-    """The terms of a text in order."""
-    return text.translate(_LETTERS).split()
+@dataclass
+class Terms:
+    """The terms of some documents: `document` and `code` for each occurrence, the terms by code."""
 
+    document: np.ndarray
+    code: np.ndarray
+    terms: pa.Array
 
-def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents by language and term, summed up as far as a bounded table reaches."""
-    found: dict[str, Counter] = {}
 
-    def flush() -> Iterator[pa.RecordBatch]:
-        for lang, counts in found.items():
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(counts), pa.string()),
-                    pa.array(list(counts), pa.binary()),
-                    pa.array(list(counts.values()), pa.int64()),
-                ],
-                names=["lang", "term", "n"],
-            )
-        found.clear()
+def terms(texts: pa.Array) -> Terms:
+    """Cuts whole texts (of type string) into terms. Only ASCII bytes change, one for one, so the array
+    stays valid UTF-8; Arrow splits it and tells the distinct terms."""
+    texts = pa.concat_arrays([texts])  # own buffers, starting at the first text
+    _, offsets, data = texts.buffers()
+    plain = _LETTERS[np.frombuffer(data, np.uint8)] if data is not None else np.zeros(0, np.uint8)
+    lists = pc.ascii_split_whitespace(
+        pa.Array.from_buffers(texts.type, len(texts), [None, offsets, pa.py_buffer(plain)], offset=texts.offset)
+    )
+    coded = lists.flatten().cast(pa.binary()).dictionary_encode()
+    document = np.repeat(np.arange(len(texts)), np.asarray(lists.value_lengths()))
+    code = np.asarray(coded.indices).astype(np.int64)
+    blank = pc.index(coded.dictionary, pa.scalar(b"", pa.binary())).as_py()  # before and after the others
+    there = code != blank
+    return Terms(document[there], code[there], coded.dictionary)
+
 
-    held = 0
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows in slices of about `PIECE` bytes of text."""
     for rows in batches:
-        for lang, text in zip(rows.column("lang").to_pylist(), rows.column("text").to_pylist()):
-            counts = found.setdefault(lang, Counter())
-            held -= len(counts)
-            counts.update(set(terms(text)))
-            held += len(counts)
-            if held > HOLD:
-                yield from flush()
-                held = 0
-    yield from flush()
-
-
-def _transducers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Terms come sorted by language and term."""
+        size = np.cumsum(np.asarray(pc.binary_length(rows.column("text"))).astype(np.int64))
+        at = 0
+        while at < len(rows):
+            done = size[at - 1] if at else 0
+            end = max(at + 1, int(np.searchsorted(size, done + PIECE, "right")))
+            yield rows.slice(at, end - at)
+            at = end
+
+
+def counted(keys: np.ndarray, found: Terms, once: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(key, code, n) of the occurrences by the key of their document, or of a document's distinct terms."""
+    width = max(1, len(found.terms))
+    document, code = found.document, found.code
+    if once:
+        pairs = np.unique(document * width + code)
+        document, code = pairs // width, pairs % width
+    both, n = np.unique(keys[document] * width + code, return_counts=True)
+    return both // width, both % width, n
+
+
+def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents by language and term."""
+    for rows in pieces(batches):
+        found = terms(rows.column("text"))
+        langs = rows.column("lang").dictionary_encode()
+        lang, code, n = counted(np.asarray(langs.indices).astype(np.int64), found, once=True)
+        yield pa.RecordBatch.from_arrays(
+            [langs.dictionary.take(pa.array(lang)), found.terms.take(pa.array(code)), pa.array(n)],
+            names=["lang", "term", "n"],
+        )
+
+
+def _transducers(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Terms come sorted by language and term; a transducer takes `most` of them."""
     mine, held = None, []
 
     def shard() -> pa.RecordBatch:
@@ -110,7 +140,7 @@ def _transducers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for rows in batches:
         for lang, term in zip(rows.column("lang").to_pylist(), rows.column("term").to_pylist()):
-            if held and (lang != mine or len(held) == SHARD):
+            if held and (lang != mine or len(held) == most):
                 yield shard()
                 held = []
             mine = lang
@@ -125,7 +155,11 @@ def vocabulary(rows: DataFrame, least: int) -> DataFrame:
     found = rows.select("lang", "text").mapInArrow(_document_counts, "lang string, term binary, n bigint")
     kept = found.groupBy("lang", "term").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
     sorted_ = kept.select("lang", "term").repartitionByRange("lang", "term").sortWithinPartitions("lang", "term")
-    shards = cut(sorted_.mapInArrow(_transducers, "lang string, low binary, n bigint, data binary"), "transducers")
+    most = SHARD
+    built = sorted_.mapInArrow(
+        lambda batches: _transducers(batches, most), "lang string, low binary, n bigint, data binary"
+    )
+    shards = cut(built, "transducers")
     before = Window.partitionBy("lang").orderBy("low").rowsBetween(Window.unboundedPreceding, -1)
     base = F.coalesce(F.sum("n").over(before), F.lit(0))
     places = shards.select("lang", "low", base.alias("base"))
@@ -134,120 +168,198 @@ def vocabulary(rows: DataFrame, least: int) -> DataFrame:
     return cut(shards.join(named, same).select("lang", "base", "low", "n", "data"), "vocabulary")
 
 
+#: Rows of counts: `places` in the transducer (32 bits each) and how often they occur (64 bits each).
+COUNTS = "lang string, source string, base bigint, places binary, n binary, total bigint"
+
+
+def packed(lang: str, source: str, base: int, dense: np.ndarray) -> dict:
+    places = np.flatnonzero(dense)
+    n = dense[places]
+    return {
+        "lang": lang, "source": source, "base": base, "places": places.astype("<i4").tobytes(),
+        "n": n.astype("<i8").tobytes(), "total": int(n.sum()),
+    }
+
+
+def unpacked(places: bytes | None, n: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(places or b"", "<i4"), np.frombuffer(n or b"", "<i8")
+
+
+def rows_of(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple]:
+    for rows in batches:
+        yield from zip(*[rows.column(c).to_pylist() for c in names])
+
+
+def _routed(batches: Iterator[pa.RecordBatch], known: dict[str, tuple[list[bytes], list[int]]]):
+    """Occurrences by group, packed for each transducer that is to be asked: the terms, which hold no
+    blanks, joined by blanks, and their numbers."""
+    lot = TaskContext.get().partitionId() % LOTS
+    for rows in pieces(batches):
+        found = terms(rows.column("text"))
+        langs, sources = (rows.column(c).to_pylist() for c in ("lang", "source"))
+        groups = {g: i for i, g in enumerate(dict.fromkeys(zip(langs, sources)))}
+        names = list(groups)
+        number = np.fromiter((groups[g] for g in zip(langs, sources)), np.int64, len(langs))
+        group, code, n = counted(number, found)
+        # Places of the terms in order, and where each transducer's range begins among them.
+        order = np.asarray(pc.sort_indices(found.terms))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        by_code = found.terms.to_pylist()
+        ordered = [by_code[i] for i in order.tolist()]
+        base = np.full(len(code), -1, np.int64)
+        for lang in {lang for lang, _ in names} & known.keys():
+            lows, bases = known[lang]
+            begins = [bisect.bisect_left(ordered, low) for low in lows]
+            mine = np.isin(group, [g for g, (x, _) in enumerate(names) if x == lang])
+            at = np.searchsorted(begins, place[code[mine]], "right") - 1
+            base[mine] = np.where(at >= 0, np.asarray(bases)[at], -1)
+        kept = np.flatnonzero(base >= 0)
+        kept = kept[np.lexsort((base[kept], group[kept]))]
+        group, base, code, n = group[kept], base[kept], code[kept].tolist(), n[kept].astype("<i8")
+        ends = [*(np.flatnonzero((np.diff(group) != 0) | (np.diff(base) != 0)) + 1).tolist(), len(code)]
+        out, at = [], 0
+        for end in ends if len(code) else []:
+            lang, source = names[group[at]]
+            data = b" ".join([by_code[c] for c in code[at:end]])
+            out.append((lang, int(base[at]), lot, source, data, n[at:end].tobytes()))
+            at = end
+        if out:
+            kinds = (pa.string(), pa.int64(), pa.int32(), pa.string(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(zip(*out), kinds)],
+                names=["lang", "base", "lot", "source", "data", "n"],
+            )
+
+
+def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A transducer (a row without a source) is followed by the terms of its range and lot, source by
+    source."""
+    machine, dense, mine = None, None, None
+    types = pa.schema(
+        [("lang", pa.string()), ("source", pa.string()), ("base", pa.int64()), ("places", pa.binary()),
+         ("n", pa.binary()), ("total", pa.int64())]
+    )
+    for lang, base, source, data, n in rows_of(batches, "lang", "base", "source", "data", "n"):
+        if mine is not None and mine != (lang, source, base):
+            yield pa.RecordBatch.from_pylist([packed(mine[0], mine[1], mine[2], dense)], types)
+            mine = None
+        if source is None:
+            machine = Transducer.from_bytes(data)
+            continue
+        if mine is None:
+            mine, dense = (lang, source, base), np.zeros(machine.size, np.int64)
+        place = machine.ordinals(data.split(b" "))
+        # A term is in a row once, so no place comes twice.
+        dense[place[place >= 0]] += np.frombuffer(n, "<i8")[place >= 0]
+    if mine is not None:
+        yield pa.RecordBatch.from_pylist([packed(mine[0], mine[1], mine[2], dense)], types)
+
+
+def _merged(rows: pa.Table) -> pa.Table:
+    """The counts of one group in one transducer, over all lots."""
+    lang, source, base = (rows.column(c)[0].as_py() for c in ("lang", "source", "base"))
+    parts = [unpacked(p, n) for p, n in rows_of(rows.to_batches(), "places", "n")]
+    dense = np.zeros(1 + max((int(p[-1]) for p, _ in parts if len(p)), default=0), np.int64)
+    for p, n in parts:
+        dense[p] += n
+    return pa.Table.from_pylist([packed(lang, source, base, dense)], rows.schema)
+
+
 def recount(rows: DataFrame, shards: DataFrame) -> DataFrame:
-    """(lang, source, base, place, n): occurrences of each kept term in each group that has it."""
+    """`COUNTS` of the kept terms, one row for each group and transducer."""
     directory: dict[str, tuple[list[bytes], list[int]]] = {}
     for r in shards.select("lang", "low", "base").orderBy("lang", "base").toLocalIterator():
         lows, bases = directory.setdefault(r.lang, ([], []))
         lows.append(bytes(r.low))
         bases.append(r.base)
     known = rows.sparkSession.sparkContext.broadcast(directory)
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[tuple[str, str], Counter] = {}
-        lot = TaskContext.get().partitionId() % LOTS
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for (lang, source), counts in found.items():
-                if lang not in known.value:
-                    continue
-                lows, bases = known.value[lang]
-                at = [bisect.bisect_right(lows, t) - 1 for t in counts]
-                rows_ = [(bases[a], t, n) for a, (t, n) in zip(at, counts.items()) if a >= 0]
-                if not rows_:
-                    continue
-                base, term, n = zip(*rows_)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(rows_), pa.string()),
-                        pa.array(base, pa.int64()),
-                        pa.array([lot] * len(rows_), pa.int32()),
-                        pa.array([source] * len(rows_), pa.string()),
-                        pa.array(term, pa.binary()),
-                        pa.array(n, pa.int64()),
-                    ],
-                    names=["lang", "base", "lot", "source", "data", "n"],
-                )
-            found.clear()
-
-        held = 0
-        for rows in batches:
-            for lang, source, text in zip(*(rows.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                counts = found.setdefault((lang, source), Counter())
-                held -= len(counts)
-                counts.update(terms(text))
-                held += len(counts)
-                if held > HOLD:
-                    yield from flush()
-                    held = 0
-        yield from flush()
-
-    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A transducer (a row without a source) is followed by the terms of its range and lot."""
-        machine = None
-        for rows in batches:
-            sources = rows.column("source")
-            heads = [-1, *np.flatnonzero(np.asarray(sources.is_null())).tolist(), len(rows)]
-            for head, end in zip(heads, heads[1:]):
-                if head >= 0:
-                    machine = Transducer.from_bytes(rows.column("data")[head].as_py())
-                part = rows.slice(head + 1, end - head - 1)
-                if not len(part):
-                    continue
-                place = machine.ordinals(part.column("data").to_pylist())
-                kept = part.filter(pa.array(place >= 0))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        *(kept.column(c) for c in ("lang", "source", "base")),
-                        pa.array(place[place >= 0].astype(np.int32)),
-                        kept.column("n"),
-                    ],
-                    names=["lang", "source", "base", "place", "n"],
-                )
-
-    columns = "lang string, base bigint, lot int, source string, data binary, n bigint"
-    texts = rows.select("lang", "source", "text").mapInArrow(counted, columns)
+    texts = rows.select("lang", "source", "text").mapInArrow(
+        lambda batches: _routed(batches, known.value),
+        "lang string, base bigint, lot int, source string, data binary, n binary",
+    )
     lots = F.explode(F.sequence(F.lit(0), F.lit(LOTS - 1))).alias("lot")
-    none = F.lit(None).cast("string").alias("source")
-    machines = shards.select("lang", "base", lots, none, "data", F.lit(0).cast("bigint").alias("n"))
+    nothing = [F.lit(None).cast(k).alias(c) for c, k in (("source", "string"), ("n", "binary"))]
+    machines = shards.select("lang", "base", lots, "data", *nothing)
     met = texts.unionByName(machines).repartition("lang", "base", "lot")
     met = met.sortWithinPartitions("lang", "base", "lot", F.asc_nulls_first("source"))
-    found = met.mapInArrow(streamed, "lang string, source string, base bigint, place int, n bigint")
-    return found.groupBy("lang", "source", "base", "place").agg(F.sum("n").alias("n"))
+    return met.mapInArrow(_streamed, COUNTS).groupBy("lang", "source", "base").applyInArrow(_merged, COUNTS)
+
 
+def shares(n: np.ndarray, total: int, size: int) -> np.ndarray:
+    """1 + floor(10^9 (n + 1) / (total + size)), exact also where the product outgrows 64 bits."""
+    if len(n) and int(n.max()) >= 9 * BILLION:
+        n = n.astype(object)
+    return (1 + (n + 1) * BILLION // (total + size)).astype(np.int64)
 
-def share(n: Column, total: Column, size: Column) -> Column:
-    """1 + floor(10^9 (n + 1) / (total + size)), exact beyond 64 bits."""
-    wide = lambda c: c.cast("decimal(20,0)")
-    return F.call_function("div", F.lit(BILLION).cast("decimal(10,0)") * (wide(n) + 1), wide(total) + wide(size)) + 1
 
+def gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """floor((p - q)^2 / q); shares are at most a billion, so squares fit 64 bits."""
+    return (p - q) ** 2 // q
+
+
+def _whole(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences in a language of each term of one transducer."""
+    dense = np.zeros(SHARD, np.int64)
+    for places, n in rows_of(batches, "places", "n"):
+        p, n = unpacked(places, n)
+        if len(p) and p[-1] >= len(dense):
+            dense = np.pad(dense, (0, int(p[-1]) + 1 - len(dense)))
+        dense[p] += n
+    row = packed(key[0].as_py(), "", key[1].as_py(), dense)
+    yield pa.RecordBatch.from_pydict(
+        {"lang": [row["lang"]], "base": [row["base"]], "places": pa.array([row["places"]], pa.binary()),
+         "n": pa.array([row["n"]], pa.binary())}
+    )
+
+
+def _ahead(top: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The language's counts in a transducer (a row without a source) are followed by the groups'.
+        Gives the best terms of each group among these; the best of all are among them."""
+        names = ("lang", "base", "source", "places", "n", "total", "size", "lang_total")
+        whole_ = np.zeros(0, np.int64)
+        for lang, base, source, places, n, total, size, lang_total in rows_of(batches, *names):
+            at, n = unpacked(places, n)
+            if source is None:
+                whole_ = np.zeros(int(at[-1]) + 1, np.int64)
+                whole_[at] = n
+                continue
+            p, q = shares(n, total, size), shares(whole_[at], lang_total, size)
+            at, value = at[p > q], gap(p, q)[p > q]
+            best = np.lexsort((at, -value))[:top]
+            yield pa.RecordBatch.from_pydict(
+                {"lang": pa.array([lang] * len(best), pa.string()), "source": pa.array([source] * len(best), pa.string()),
+                 "base": pa.array([base] * len(best), pa.int64()), "place": pa.array(at[best].astype(np.int32)),
+                 "value": pa.array(value[best].astype(np.int64))}
+            )
 
-def gap(p: Column, q: Column) -> Column:
-    """floor((p - q)^2 / q); shares are at most a billion, squares fit."""
-    return F.call_function("div", (p - q) * (p - q), q)
+    return run
 
 
 def _tile(key: tuple, rows: pa.Table) -> pa.Table:
-    """Sums of one block of terms over all pairs of sources of two tiles."""
-    lang, low, high, size = key[0].as_py(), key[3].as_py(), key[4].as_py(), rows.column("size")[0].as_py()
-    numbers = rows.column("no").to_numpy()
-    p = np.repeat(rows.column("p0").to_numpy()[:, None], size, axis=1)
-    lists = rows.column("cells").combine_chunks()
-    lengths = np.asarray(lists.value_lengths().fill_null(0))
-    cells = lists.flatten()
-    p[np.repeat(np.arange(len(lengths)), lengths), cells.field("at").to_numpy()] = cells.field("p").to_numpy()
+    """Sums over the terms of one transducer for all pairs of sources of two tiles."""
+    lang, low, high = (key[i].as_py() for i in (0, 2, 3))
+    size, width = rows.column("size")[0].as_py(), rows.column("width")[0].as_py()
+    tile = rows.column("tile").to_numpy()
+    p = np.empty((len(rows), width), np.int64)
+    for row, (places, n, total) in zip(p, rows_of(rows.to_batches(), "places", "n", "total")):
+        dense = np.zeros(width, np.int64)
+        at, n = unpacked(places, n)
+        dense[at] = n
+        row[:] = shares(dense, total, size) if width else 0
     names = rows.column("source").to_pylist()
-    tile = numbers // TILE
     first, items, values = [], [], []
 
     def against(one: np.ndarray, other: np.ndarray) -> None:
         for a in one.tolist():
             b = other[other != a]
-            difference = p[a][None, :] - p[b]
-            found = (difference * difference // p[b]).sum(axis=1) if len(b) else []
+            found = np.zeros(len(b), np.int64)
+            for at in range(0, width, BLOCK):
+                found += gap(p[a, at : at + BLOCK][None, :], p[b, at : at + BLOCK]).sum(axis=1)
             first.extend([names[a]] * len(b))
-            items.extend(names[i] for i in b)
-            values.extend(found)
+            items.extend(names[i] for i in b.tolist())
+            values.extend(found.tolist())
 
     one, other = np.flatnonzero(tile == low), np.flatnonzero(tile == high)
     against(one, other)
@@ -258,7 +370,7 @@ def _tile(key: tuple, rows: pa.Table) -> pa.Table:
             "lang": pa.array([lang] * len(first), pa.string()),
             "source": pa.array(first, pa.string()),
             "item": pa.array(items, pa.string()),
-            "value": pa.array(np.asarray(values, np.int64)),
+            "value": pa.array(values, pa.int64()),
         }
     )
 
@@ -292,89 +404,81 @@ def audit(
     rows = docs.select(
         plain(lang_col).alias("lang"),
         plain(source_col).alias("source"),
-        whole(col(text_col)).cast("binary").alias("text"),
+        whole(col(text_col)).alias("text"),
     )
     shards = vocabulary(rows, least)
     counts = cut(recount(rows, shards), "counts")
+    groups = cut(_groups(rows, shards, counts), "groups")
+    return _pairs(groups, shards, counts).unionByName(_terms(groups, shards, counts, top))
+
+
+def _groups(rows: DataFrame, shards: DataFrame, counts: DataFrame) -> DataFrame:
+    """One row for each (lang, source): total occurrences of kept terms, the language's number of kept
+    terms and their occurrences, the source's place and the number of sources."""
     sizes = shards.groupBy(F.col("lang").alias("s_lang")).agg(F.sum("n").alias("size"))
-    sums = counts.groupBy(F.col("lang").alias("c_lang"), F.col("source").alias("c_source")).agg(F.sum("n").alias("total"))
+    sums = counts.groupBy(F.col("lang").alias("c_lang"), F.col("source").alias("c_source")).agg(F.sum("total").alias("total"))
     there = rows.select("lang", "source").distinct()
     groups = there.join(
         sums, (F.col("lang") == F.col("c_lang")) & (F.col("source") == F.col("c_source")), "left"
     ).join(sizes, F.col("lang") == F.col("s_lang"), "left")
+    none = F.lit(0).cast("bigint")
+    groups = groups.select("lang", "source", *[F.coalesce(c, none).alias(c) for c in ("total", "size")])
     by_lang = Window.partitionBy("lang")
-    groups = groups.select(
-        "lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("size", F.lit(0)).alias("size")
-    )
-    groups = cut(
-        groups.select(
-            "*",
-            F.sum("total").over(by_lang).alias("lang_total"),
-            (F.row_number().over(by_lang.orderBy("source")) - 1).alias("no"),
-            F.count("*").over(by_lang).alias("sources"),
-        ),
-        "groups",
+    return groups.select(
+        "*",
+        F.sum("total").over(by_lang).alias("lang_total"),
+        (F.row_number().over(by_lang.orderBy("source")) - 1).alias("no"),
+        F.count("*").over(by_lang).alias("sources"),
     )
-    # Hot groups have many terms: keys in a struct let Spark split them where it does not broadcast.
+
+
+def _terms(groups: DataFrame, shards: DataFrame, counts: DataFrame, top: int) -> DataFrame:
     of = groups.select(
-        F.struct("lang", "source").alias("g"), "total", "size", "lang_total"
+        F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), F.col("total").alias("g_total"),
+        "size", "lang_total",
     )
-    in_lang = Window.partitionBy("lang", "base", "place")
-    shares = (
-        counts.withColumn("lang_n", F.sum("n").over(in_lang))
-        .join(of, F.struct("lang", "source") == F.col("g"))
-        .select(
-            "lang", "source", "base", "place",
-            share(F.col("n"), F.col("total"), F.col("size")).alias("p"),
-            share(F.col("lang_n"), F.col("lang_total"), F.col("size")).alias("q"),
-        )
+    mine = counts.join(of, (F.col("lang") == F.col("g_lang")) & (F.col("source") == F.col("g_source"))).select(
+        "lang", "base", "source", "places", "n", F.col("g_total").alias("total"), "size", "lang_total"
     )
-    shares = cut(shares, "shares")
-
+    whole_ = counts.select("lang", "base", "places", "n").groupBy("lang", "base").applyInArrow(
+        _whole, "lang string, base bigint, places binary, n binary"
+    )
+    met = mine.unionByName(whole_, allowMissingColumns=True).repartition("lang", "base")
+    met = met.sortWithinPartitions("lang", "base", F.asc_nulls_first("source"))
+    ahead = met.mapInArrow(_ahead(top), "lang string, source string, base bigint, place int, value bigint")
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "base", "place")
-    ahead = shares.filter("p > q").withColumn("value", gap(F.col("p"), F.col("q")))
-    best = cut(ahead.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top).drop("p", "q"), "best")
+    best = cut(ahead.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top), "best")
     places = best.select("lang", "base", "place").distinct().groupBy("lang", "base")
     named = shards.select("lang", "base", "data").groupBy("lang", "base").cogroup(places)
     words = named.applyInArrow(_words, "lang string, base bigint, place int, item string")
-    term = best.join(words, ["lang", "base", "place"]).select(
+    return best.join(words, ["lang", "base", "place"]).select(
         "lang", "source", F.lit("term").alias("part"), "item", "value", "rank"
     )
 
-    cells = shares.groupBy(
-        "lang", "source", "base", F.floor(F.col("place") / BLOCK).alias("block")
-    ).agg(F.collect_list(F.struct((F.col("place") % BLOCK).alias("at"), "p")).alias("cells"))
-    cells = cells.toDF("x_lang", "x_source", "x_base", "x_block", "cells")
-    last = F.floor((F.col("n") - 1) / BLOCK)
-    block = F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("block")
-    blocks = shards.select(F.col("lang").alias("b_lang"), "base", "n", block).select(
-        "b_lang", "base", "block", F.least(F.lit(BLOCK), F.col("n") - F.col("block") * BLOCK).alias("width")
-    )
-    # A language without kept terms has one block without terms, which gives its pairs their zero.
-    p0 = F.when(F.col("size") > 0, share(F.lit(0), F.col("total"), F.col("size"))).otherwise(F.lit(1))
-    grid = groups.filter("sources > 1").withColumn("p0", p0).join(blocks, F.col("lang") == F.col("b_lang"), "left")
-    grid = grid.select(
-        "lang", "source", "no", "sources", "p0",
-        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("base", "block", "width")],
+
+def _pairs(groups: DataFrame, shards: DataFrame, counts: DataFrame) -> DataFrame:
+    # A language without kept terms has one transducer without terms, which gives its pairs their zero.
+    ranges = shards.select(F.col("lang").alias("b_lang"), F.col("base").alias("b_base"), F.col("n").alias("width"))
+    none = F.lit(0).cast("bigint")
+    grid = groups.filter("sources > 1").join(ranges, F.col("lang") == F.col("b_lang"), "left").select(
+        "lang", "source", "no", "sources", "total", "size",
+        F.coalesce("b_base", none).alias("base"), F.coalesce("width", none).alias("width"),
     )
+    cells = counts.select(*[F.col(c).alias(f"x_{c}") for c in ("lang", "source", "base")], "places", "n")
     same = F.lit(True)
-    for c in ("lang", "source", "base", "block"):
+    for c in ("lang", "source", "base"):
         same = same & (F.col(c) == F.col(f"x_{c}"))
     mine = F.floor(F.col("no") / TILE)
-    others = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("sources") - 1) / TILE))).alias("other")
-    tiled = grid.join(cells, same, "left").select(
-        "lang", "base", "block", "source", "no", "p0", "cells", F.col("width").alias("size"), mine.alias("mine"), others
-    )
-    tiled = tiled.select(
-        "lang", "base", "block", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
-        "source", "no", "p0", "size", "cells",
+    others = F.explode(F.sequence(none, F.floor((F.col("sources") - 1) / TILE))).alias("other")
+    tiled = grid.join(cells, same, "left").select("*", mine.alias("mine"), others).select(
+        "lang", "base", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
+        "source", F.col("mine").alias("tile"), "total", "size", "width", "places", "n",
     )
-    parts = tiled.groupBy("lang", "base", "block", "low", "high").applyInArrow(
+    parts = tiled.groupBy("lang", "base", "low", "high").applyInArrow(
         _tile, "lang string, source string, item string, value bigint"
     )
     totals = parts.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     by_value = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
-    pair = totals.select(
+    return totals.select(
         "lang", "source", F.lit("pair").alias("part"), "item", "value", F.row_number().over(by_value).alias("rank")
     )
-    return pair.unionByName(term)

@@ -59,7 +59,7 @@ TILE = 64
 BILLION = 1_000_000_000
 
 #: Bytes of text that are cut into terms at a time.
-PIECE = 1 << 25
+PIECE = 1 << 24
 
 #: What each byte becomes: A-Z lower-cased, other letters and bytes beyond ASCII themselves, the rest blanks.
 _LETTERS = np.asarray(
@@ -329,14 +329,34 @@ def _ahead(top: int):
             at, value = at[p > q], gap(p, q)[p > q]
             best = np.lexsort((at, -value))[:top]
             yield pa.RecordBatch.from_pydict(
-                {"lang": pa.array([lang] * len(best), pa.string()), "source": pa.array([source] * len(best), pa.string()),
-                 "base": pa.array([base] * len(best), pa.int64()), "place": pa.array(at[best].astype(np.int32)),
-                 "value": pa.array(value[best].astype(np.int64))}
+                {"lang": pa.array([lang], pa.string()), "source": pa.array([source], pa.string()),
+                 "base": pa.array([base], pa.int64()), "places": pa.array([at[best].astype("<i4").tobytes()], pa.binary()),
+                 "n": pa.array([value[best].astype("<i8").tobytes()], pa.binary())}
             )
 
     return run
 
 
+def _best(top: int):
+    def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The best terms of a group from the best of each transducer."""
+        base, place, value = (np.zeros(0, np.int64) for _ in range(3))
+        for b, places, values in rows_of(batches, "base", "places", "n"):
+            p, v = unpacked(places, values)
+            base, place = np.append(base, np.full(len(p), b)), np.append(place, p)
+            value = np.append(value, v)
+            best = np.lexsort((place, base, -value))[:top]
+            base, place, value = base[best], place[best], value[best]
+        yield pa.RecordBatch.from_pydict(
+            {"lang": pa.array([key[0].as_py()] * len(base), pa.string()),
+             "source": pa.array([key[1].as_py()] * len(base), pa.string()), "base": pa.array(base),
+             "place": pa.array(place.astype(np.int32)), "value": pa.array(value),
+             "rank": pa.array(np.arange(1, len(base) + 1, dtype=np.int32))}
+        )
+
+    return run
+
+
 def _tile(key: tuple, rows: pa.Table) -> pa.Table:
     """Sums over the terms of one transducer for all pairs of sources of two tiles."""
     lang, low, high = (key[i].as_py() for i in (0, 2, 3))
@@ -445,9 +465,11 @@ def _terms(groups: DataFrame, shards: DataFrame, counts: DataFrame, top: int) ->
     )
     met = mine.unionByName(whole_, allowMissingColumns=True).repartition("lang", "base")
     met = met.sortWithinPartitions("lang", "base", F.asc_nulls_first("source"))
-    ahead = met.mapInArrow(_ahead(top), "lang string, source string, base bigint, place int, value bigint")
-    ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "base", "place")
-    best = cut(ahead.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= top), "best")
+    ahead = met.mapInArrow(_ahead(top), "lang string, source string, base bigint, places binary, n binary")
+    best = ahead.groupBy("lang", "source").applyInArrow(
+        _best(top), "lang string, source string, base bigint, place int, value bigint, rank int"
+    )
+    best = cut(best, "best")
     places = best.select("lang", "base", "place").distinct().groupBy("lang", "base")
     named = shards.select("lang", "base", "data").groupBy("lang", "base").cogroup(places)
     words = named.applyInArrow(_words, "lang string, base bigint, place int, item string")

@@ -1,7 +1,8 @@
-"""Candidates, grouped cross-validation, random search and similarity ranking."""
+"""Candidates, grouped cross-validation, final evaluation and text embedding."""
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import time
@@ -18,26 +19,28 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.util import DefaultParamsReader
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import ranking as K
-from ..operators.encode import FeatureEncoder
+from ..operators.encode import FeatureEncoder, FeatureEncoderModel
 from ..operators.quality import union_all
 from ..operators.sampling import SEED
+from ..sources import registry, workspace
 from ..sources import runs as R
-from ..sources import workspace
 
 
 @dataclass(frozen=True)
 class Candidate:
     """`build(params)` gives a Spark ML estimator over `features` and `label`, or None for a scorer
-    that only needs `score`, a column over the encoded rows."""
+    that only needs `score(train, params)`, a column over the rows."""
 
     family: str
     build: Callable[[Mapping], object] | None = None
-    score: Callable[[DataFrame], Column] | None = None
+    score: Callable[[DataFrame, Mapping], Column] | None = None
     space: Mapping[str, Callable[[random.Random], object]] = field(default_factory=dict)
     params: Mapping[str, object] = field(default_factory=dict)
 
@@ -54,7 +57,7 @@ def whole(low: int, high: int):
     return lambda rng: rng.randint(low, high)
 
 
-def prior_score(train: DataFrame) -> Column:
+def prior_score(train: DataFrame, params: Mapping) -> Column:
     """Every row gets the training positive rate: one number comes back."""
     return F.lit(train.agg(F.avg(F.col("label").cast("double"))).first()[0])
 
@@ -101,17 +104,21 @@ def candidates(rule: Column | None = None) -> dict[str, Candidate]:
         ),
     }
     if rule is not None:
-        found["regla"] = Candidate("regla", score=lambda train: rule)
+        found["regla"] = Candidate("regla", score=lambda train, params: rule)
     return found
 
 
 def with_weight(train: DataFrame, class_weight: str | None) -> DataFrame:
+    n, positives = train.agg(F.count(F.lit(1)), F.sum(F.col("label").cast("long"))).first()
+    return train.withColumn("weight", weight_of(class_weight, n, positives or 0))
+
+
+def weight_of(class_weight: str | None, n: int, positives: int) -> Column:
     """'balanced' gives each class the same total weight: n / (2 * n_class)."""
     if class_weight is None:
-        return train.withColumn("weight", F.lit(1.0))
-    n, positives = train.agg(F.count(F.lit(1)), F.sum(F.col("label").cast("long"))).first()
+        return F.lit(1.0)
     positive, negative = n / (2.0 * max(positives, 1)), n / (2.0 * max(n - positives, 1))
-    return train.withColumn("weight", F.when(F.col("label") == 1, positive).otherwise(negative))
+    return F.when(F.col("label") == 1, positive).otherwise(negative)
 
 
 def positive_score(prediction: DataFrame) -> Column:
@@ -135,11 +142,27 @@ class Trained:
         predicted = self.model.transform(self.encoder.transform(rows))
         return predicted.select(*rows.columns, positive_score(predicted).alias("score"))
 
+    def save(self, path: str) -> None:
+        """Encoder, model and parameters below `path`, by Spark ML's own writers."""
+        if self.model is None:
+            raise ValueError("a scorer without a fitted model has nothing to save")
+        self.encoder.write().save(f"{path}/encoder")
+        self.model.write().save(f"{path}/model")
+        rows = [({k: str(v) for k, v in self.params.items()}, float(self.seconds))]
+        SparkSession.active().createDataFrame(rows, "params map<string,string>, seconds double").write.parquet(f"{path}/facts")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Trained:
+        """What `save` wrote; parameters come back as text."""
+        facts = spark.read.parquet(f"{path}/facts").first()  # one row
+        model = DefaultParamsReader.loadParamsInstance(f"{path}/model", spark)
+        return Trained(FeatureEncoderModel.load(f"{path}/encoder"), model, None, facts["params"], facts["seconds"])
+
 
 def train(candidate: Candidate, encoder: FeatureEncoder, rows: DataFrame, params: Mapping | None = None) -> Trained:
     params, began = {**candidate.params, **(params or {})}, time.perf_counter()
     if candidate.build is None:
-        return Trained(None, None, candidate.score(rows), params, time.perf_counter() - began)
+        return Trained(None, None, candidate.score(rows, params), params, time.perf_counter() - began)
     fitted = encoder.fit(rows)
     ready = with_weight(fitted.transform(rows), params.get("class_weight"))
     ready = ready.select("features", F.col("label").cast("double").alias("label"), "weight")
@@ -193,12 +216,12 @@ def cross_validate(
     return metrics_of(workspace.cut(union_all(parts), "folds"), group, tie, by=["fold"])
 
 
-def summary_of(sets: DataFrame) -> DataFrame:
-    """One row: mean and sample deviation over held-out folds, the number of folds with an ap, and
-    where the training rows were measured too, their metrics and the gap to the folds' mean."""
+def summary_of(sets: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row (for each `by`): mean and sample deviation over held-out folds, the number of folds with
+    an ap, and where the training rows were measured too, their metrics and the gap to the folds' mean."""
     inside = lambda m: F.when(F.col("fold") != TRAINING, F.col(m))
     on_train = lambda m: F.max(F.when(F.col("fold") == TRAINING, F.col(m)))
-    one = sets.agg(
+    one = sets.groupBy(*by).agg(
         *[F.avg(inside(m)).alias(f"cv_{m}_mean") for m in R.MEASURED],
         *[F.stddev_samp(inside(m)).alias(f"cv_{m}_std") for m in R.MEASURED],
         F.count(inside("ap")).alias("cv_folds"),
@@ -245,44 +268,49 @@ def sampled_params(space: Mapping, n: int, seed: int = SEED) -> list[dict]:
     return [{k: draw(rng) for k, draw in sorted(space.items())} for _ in range(n)]
 
 
-def random_search(
-    log_path: str,
-    name: str,
-    candidate: Candidate,
-    encoder: FeatureEncoder,
-    rows: DataFrame,
-    group: str,
-    tie: Sequence[Column],
-    manifest: Mapping,
-    n: int = 30,
-    parent: str | None = None,
-) -> None:
-    """n configurations of one candidate, each a logged run under `parent`."""
-    for i, params in enumerate(sampled_params(candidate.space, n)):
-        run(log_path, f"{name}-{i}", "tuning", candidate, encoder, rows, group, tie, manifest, params, parent)
+class AlreadyEvaluated(RuntimeError):
+    """The test rows have been looked at for this selection."""
 
 
 def final_evaluation(
     log_path: str,
     runs: DataFrame,
     known: Mapping[str, tuple[Candidate, Mapping]],
-    encoder: FeatureEncoder,
+    encoder: FeatureEncoder | None,
     rows: DataFrame,
     test: DataFrame,
     group: str,
     tie: Sequence[Column],
     manifest: Mapping,
+    model: str = "model",
 ) -> str:
-    """The best logged run, fitted again on all training rows and measured once on the test rows.
-    `known`: run name -> its candidate and parameters."""
-    best = R.leaderboard(runs).first()  # one row
-    candidate, params = known[best["name"]]
-    trained = train(candidate, encoder, rows, params)
-    found = metrics_of(trained.score(test), group, tie).first().asDict()
-    return R.log_run(
-        rows.sparkSession, log_path, best["name"], candidate.family, "final", origin_of(manifest, group) | dict(params),
-        {f"test_{m}": v for m, v in found.items()}, parent=best["run_id"],
-    )
+    """The best logged run, fitted again on all training rows and measured once on the test rows; the
+    id of the logged run. `known`: run name -> its candidate and parameters.
+
+    The selection, which is the best run and the data it was chosen on, is claimed before the test rows
+    are read: a second evaluation raises `AlreadyEvaluated`, also from another session. A failed
+    evaluation gives its claim back. The two best runs get the registry's aliases.
+    """
+    spark = rows.sparkSession
+    best = R.finalists(runs, n=len(R.ALIASES)).orderBy("place").collect()  # one row for each alias
+    first = best[0]
+    candidate, params = known[first["name"]]
+    facts = f"{first['run_id']} {manifest['content_hash']}"
+    claim = f"{log_path}-claims/{hashlib.sha256(facts.encode()).hexdigest()}"
+    if not workspace.claim(spark, claim):
+        raise AlreadyEvaluated(f"run {first['run_id']} has been measured on the test rows")
+    try:
+        trained = train(candidate, encoder, rows, params)
+        found = metrics_of(trained.score(test), group, tie).first().asDict()
+        run_id = R.log_run(
+            spark, log_path, first["name"], candidate.family, "final", origin_of(manifest, group) | dict(params),
+            {f"test_{m}": v for m, v in found.items()}, parent=first["run_id"],
+        )
+    except Exception:
+        workspace.discard(spark, [claim])
+        raise
+    registry.register(spark, f"{log_path}-registry", model, [(r["run_id"], r["alias"]) for r in best])
+    return run_id
 
 
 # Width of the offline embedding. Words share a slot where their hashes do: raise it for corpora whose
@@ -311,6 +339,19 @@ def embed_text(df: DataFrame, key: str, text: str, embedder=None, size: int = EM
     return fitted.transform(rows).select(key, vector_to_array("_embedding", "float32").alias("embedding"))
 
 
+def embed_batches(
+    df: DataFrame, key: str, text: str, load: Callable[[], Callable], batch_size: int = 256
+) -> DataFrame:
+    """key -> ARRAY<FLOAT> by any encoder of whole batches; keys without text have no row.
+
+    `load()` runs once in each Python worker and returns encode(texts), which takes an array of texts
+    and returns one row of numbers for each. Spark cuts the Arrow stream into `batch_size` texts.
+    """
+    encode = predict_batch_udf(load, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+    rows = df.select(key, text).filter(F.col(text).isNotNull())
+    return rows.select(key, encode(text).alias("embedding"))
+
+
 def similarity(a: Column, b: Column) -> Column:
     """Dot product of two arrays of the same length."""
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))

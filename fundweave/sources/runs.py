@@ -45,15 +45,33 @@ def log_run(
     parent: str | None = None,
     started: datetime | None = None,
 ) -> str:
+    row = run_row(name, family, phase, params, metrics, commit, parent, started)
+    log_rows(spark, path, [row])
+    return row[0]
+
+
+def run_row(
+    name: str,
+    family: str,
+    phase: str,
+    params: Mapping[str, object],
+    metrics: Mapping[str, float],
+    commit: str = UNKNOWN_COMMIT,
+    parent: str | None = None,
+    started: datetime | None = None,
+) -> tuple:
+    """One run as the log keeps it, under a new id."""
     check(phase, family)
-    run_id = uuid.uuid4().hex
-    row = (
-        run_id, name, phase, family, commit, parent, started or datetime.now(timezone.utc), "FINISHED",
+    return (
+        uuid.uuid4().hex, name, phase, family, commit, parent, started or datetime.now(timezone.utc), "FINISHED",
         {k: str(v) for k, v in params.items()},
         {k: float(v) for k, v in metrics.items() if v is not None},
     )
-    append_by_name(spark.createDataFrame([row], RUNS_SCHEMA), path, RUNS_SCHEMA)
-    return run_id
+
+
+def log_rows(spark: SparkSession, path: str, rows: list[tuple]) -> None:
+    """Several runs in one append."""
+    append_by_name(spark.createDataFrame(rows, RUNS_SCHEMA), path, RUNS_SCHEMA)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

@@ -44,8 +44,23 @@ def cut(df: DataFrame, name: str = "step", staged: list[str] | None = None) -> D
 
 def discard(spark: SparkSession, staged: list[str]) -> None:
     """Deletes steps whose result has been written elsewhere."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     while staged:
-        path = jvm.org.apache.hadoop.fs.Path(staged.pop())
-        path.getFileSystem(conf).delete(path, True)
+        place, store = _store(spark, staged.pop())
+        store.delete(place, True)
+
+
+def _store(spark: SparkSession, path: str):
+    """A path and the store it lies in."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, store = _store(spark, path)
+    return store.exists(place)
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Creates a marker file; False if somebody has. The store's own create-if-absent decides."""
+    place, store = _store(spark, path)
+    return store.createNewFile(place)

@@ -1,20 +1,24 @@
 """License scan: a trained paragraph classifier whose findings are confirmed by the notices' wording.
 
-A paragraph is a line with a word. Its features are counts of the words and word pairs of the known
+A paragraph is a line with a word, together with the lines that it is wrapped over: a line of `WRAPPED`
+characters that ends without a full stop or the like goes on in the next one. Its features are counts of the words and word pairs of the known
 notices, scaled by the square root of their number; a multinomial logistic regression over them gives
 the families and `none`. Two things make a finding `unknown` instead of a family: a probability below
-the calibrated cut, and wording too far from every notice of the predicted family. Lines of a few
-words ("License: MIT") have too few pairs for that; their words are compared with the families' names.
-
-Training is numpy on the driver, over the notices below, seeded variants of them, and a bounded sample
-of `LINES` corpus lines without licence vocabulary (one line a document, the documents by a hash of
-their id). The cut is the one that best tells held-out variants of known notices from notices of
-families that are not listed. What is no notice at all is calibrated too: the probability of `none`
+the calibrated cut, and wording too far from every notice of the predicted family. Wording is compared
+by word pairs, and a pair that notices of several families have says the less about any of them. Lines
+of a few words ("License: MIT") have too few pairs for that; their words are compared with the families' names.
+
+Training is numpy on the driver, over the notices below, seeded variants of them, plain sentences with
+the same words, and a bounded sample of `LINES` corpus lines without licence vocabulary (one line a
+document, its first `LONGEST` characters, the documents by a hash of their id, one row for an id). The
+cut is the one that best tells held-out variants of known notices from notices of families that are not
+listed, and so is the likeness from which a finding is confirmed. What is no notice at all is calibrated
+too: the probability of `none`
 and the likeness to any notice that best tell unlisted notices from held-out corpus lines. Scanning covers every line of every text, in Arrow batches, without a
 shuffle.
 
-Defined cases: null and empty texts have no paragraph and no licence; several licences are all listed,
-the most frequent (then first by name) is the document's; repeated rows each give a row; an empty
+Defined cases: null and empty texts have no paragraph and no licence; a paragraph
+without a letter is no notice; several licences are all listed, the most frequent (then first by name) is the document's; repeated rows each give a row; an empty
 table gives an empty result and is trained on notices and plain sentences alone; other columns pass
 through.
 """
@@ -32,6 +36,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fundweave.operators.ordering import top_k
+
 from .common import class_sample, col, fresh, ship
 
 # Wordings of public licence notices, by family.
@@ -40,6 +46,8 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "This program is licensed under the GNU Affero General Public License, version 3.",
         "You can redistribute it and/or modify it under the terms of the GNU Affero General Public "
         "License as published by the Free Software Foundation.",
+        "You should have received a copy of the GNU Affero General Public License along with this program. "
+        "If not, see <https://www.gnu.org/licenses/>.",
     ),
     "apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
@@ -49,6 +57,8 @@ NOTICES: dict[str, tuple[str, ...]] = {
         'License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, '
         "either express or implied.",
         "This project is released under the Apache 2.0 license.",
+        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "See the License for the specific language governing permissions and limitations under the License.",
     ),
     "bsd": (
         "Licensed under the BSD 3-Clause License.",
@@ -56,6 +66,21 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "file.",
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met:",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions "
+        "and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions "
+        "and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+        "or promote products derived from this software without specific prior written permission.",
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR "
+        "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+        "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+        "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+        "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+        "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+        "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT "
+        "OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
     ),
     "cc-by": (
         "Licensed under CC BY 4.0.",
@@ -81,11 +106,20 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "the GNU General Public License as published by the Free Software Foundation, either version "
         "3 of the License, or (at your option) any later version.",
         "Released under the GNU GPL v3.",
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "General Public License for more details.",
+        "You should have received a copy of the GNU General Public License along with this program. If not, "
+        "see <https://www.gnu.org/licenses/>.",
     ),
     "lgpl": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "You can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
         "License as published by the Free Software Foundation.",
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+        "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU "
+        "Lesser General Public License for more details.",
+        "You should have received a copy of the GNU Lesser General Public License along with this library.",
     ),
     "mit": (
         "Released under the MIT License.",
@@ -93,10 +127,24 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
         'and associated documentation files (the "Software"), to deal in the Software without '
         "restriction.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+        'associated documentation files (the "Software"), to deal in the Software without restriction, '
+        "including without limitation the rights to use, copy, modify, merge, publish, distribute, "
+        "sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is "
+        "furnished to do so, subject to the following conditions:",
+        "The above copyright notice and this permission notice shall be included in all copies or "
+        "substantial portions of the Software.",
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT '
+        "NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND "
+        "NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, "
+        "DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT "
+        "OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
     ),
     "mpl-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/.",
     ),
     "reserved": (
         "All rights reserved.",
@@ -138,6 +186,10 @@ OTHERS = (
     "SPDX-License-Identifier: EUPL-1.2",
     "The Harbour License",
     "Licensed under Artistic-2.0",
+    "Licensed under the Orchard Public License, version 2.0.",
+    "This work is licensed under the Tidewater General License, version 3.",
+    "Released under the Brook Software License.",
+    "You should have received a copy of the Northgate Source License along with this program.",
 )
 PLAIN = (
     "The driver had to renew a license before the end of the year.",
@@ -153,19 +205,34 @@ PLAIN = (
     "2.0",
     "The public office",
     "Read by the members",
+    "His fishing license was issued last spring.",
+    "A driving license is needed for this job.",
+    "They lost the license for the bar after the inspection.",
+    "The teacher got a license to teach in another state.",
+    "The pilot must show the license at the gate.",
+    "Copyright law was the subject of the lecture.",
+    "The warranty of the car had run out by then.",
+    "She gave him permission to leave the room early.",
+    "Human rights were discussed at the meeting of the foundation.",
+    "It comes without a warranty and was sold as is.",
+    "The license fee for the radio was raised again.",
 )
 
 NONE, UNKNOWN = "none", "unknown"
 LINES = 1500
 VARIANTS = 60
-#: Share of word pairs that a paragraph and a notice must have in common, of the shorter one's.
-CONFIRM = 0.6
+#: Characters of a corpus line that is learnt from, at most.
+LONGEST = 2000
+#: Lengths of a line that may be wrapped, and what shows that it is not.
+WRAPPED = range(45, 101)
+CLOSED = ".:;!?"
 #: Words of a line that is compared with the short notices, at most.
 SHORT = 8
 #: Words of the short notices of more families than this say little about the family.
 SHARED = 3
 SEED = 11
 ROUNDS = 300
+_LETTER = re.compile(r"[A-Za-z]")
 _WORD = re.compile(r"[a-z0-9]+(?:[.-][a-z0-9]+)*")
 ABOUT = r"(?i)licen[cs]|copyright|warrant|permi|rights|creative|gnu|apache"
 #: Words remembered by a worker before it starts over.
@@ -206,6 +273,8 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     cut: float = 0.5
+    #: Likeness to a notice of the family that confirms it.
+    confirm: float = 0.6
     #: A notice has less probability of `none` than this, and at least this likeness to some notice.
     none: float = 0.5
     near: float = 0.0
@@ -261,11 +330,11 @@ def train(lines: list[str], seed: int = SEED) -> Model:
     # A fifth of the corpus lines is kept for calibration.
     apart, lines = lines[::5], [x for i, x in enumerate(lines) if i % 5]
     texts, y = [*PLAIN, *lines], [0] * (len(PLAIN) + len(lines))
-    held: list[str] = []
+    held: list[tuple[str, str]] = []
     for c, f in enumerate(families[1:], 1):
         for line in NOTICES[f]:
             made = [line, *[_variants(line, r, filler) for _ in range(VARIANTS)]]
-            held += made[-VARIANTS // 5 :]
+            held += [(x, f) for x in made[-VARIANTS // 5 :]]
             texts += made[: -VARIANTS // 5]
             y += [c] * (len(made) - VARIANTS // 5)
         texts += 2 * short.get(f, [])
@@ -283,17 +352,30 @@ def train(lines: list[str], seed: int = SEED) -> Model:
         m.weights -= 0.3 * g_w / np.sqrt(past_w)
         m.bias -= 0.3 * g_b / np.sqrt(past_b)
     m.weights[0] = 0
-    inside = probabilities(m, np.stack([_features(t, m) for t in held]))[:, 1:].max(axis=1)
+    inside = probabilities(m, np.stack([_features(t, m) for t, _ in held]))[:, 1:].max(axis=1)
     outside = probabilities(m, np.stack([_features(t, m) for t in OTHERS]))[:, 1:].max(axis=1)
     cuts = np.unique(np.concatenate([inside, outside]))
     good = [(inside >= c).mean() + (outside < c).mean() for c in cuts]
     # Among the best cuts the middle one; wording decides where probabilities cannot.
     best = cuts[np.flatnonzero(np.isclose(good, max(good)))]
     m.cut = float(min(best[len(best) // 2], np.quantile(inside, 0.02)))
+    m.confirm = _confirming(m, held)
     m.none, m.near = _lower(m, list(OTHERS), [*PLAIN, *apart])
     return m
 
 
+def _confirming(m: Model, held: list[tuple[str, str]]) -> float:
+    """The likeness that best tells held-out variants of notices from unlisted notices, midway between
+    the two groups there."""
+    scanner = Scanner(m)
+    inside = np.asarray([scanner.similarity(t, f) for t, f in held])
+    outside = np.asarray([max(scanner.similarity(t, f) for f in m.families[1:]) for t in OTHERS])
+    cuts = np.unique(np.concatenate([inside, outside]))
+    good = [(inside >= c).mean() + (outside < c).mean() for c in cuts]
+    best = float(cuts[int(np.argmax(good))])
+    return (best + float(outside[outside < best].max(initial=0.0))) / 2
+
+
 def _lower(m: Model, unlisted: list[str], plain: list[str]) -> tuple[float, float]:
     """The two limits that best tell `unlisted` notices from `plain` lines, each midway between what
     it must let through and the next plain line that it keeps out."""
@@ -325,10 +407,28 @@ def learn(
     some = (
         rows.join(ids, F.col("doc_id") == F.col("p_id"), "left_semi")
         .select("doc_id", each.alias("each"))
-        .select("doc_id", F.substring(F.get("each", place), 1, 2000).alias("line"))
+        .select("doc_id", F.substring(F.get("each", place), 1, LONGEST).alias("line"))
         .filter(F.col("line").isNotNull())
     )
-    return train([r.line for r in sorted(some.collect(), key=lambda r: (r.doc_id, r.line))][:lines])
+    one = top_k(some, ["doc_id"], [F.xxhash64("line"), F.col("line")], 1)
+    return train([r.line for r in sorted(one.collect(), key=lambda r: (r.doc_id, r.line))])
+
+
+def paragraphs(text: str | None) -> list[tuple[int, int]]:
+    """(start, end) of the paragraphs of a text, in code points."""
+    found, at, open_ = [], 0, False
+    for line in (text or "").split("\n"):
+        end = at + len(line)
+        if not line or line.isspace():
+            open_ = False
+        else:
+            if open_:
+                found[-1] = (found[-1][0], end)
+            else:
+                found.append((at, end))
+            open_ = len(line) in WRAPPED and line.rstrip()[-1] not in CLOSED
+        at = end + 1
+    return found
 
 
 class Scanner:
@@ -337,6 +437,8 @@ class Scanner:
     def __init__(self, m: Model) -> None:
         self.model = m
         self.notices = {f: [pairs_of(n) for n in lines] for f, lines in NOTICES.items()}
+        #: Families whose notices have a pair.
+        self.spread = Counter(p for notices in self.notices.values() for p in set().union(*notices))
         short = {f: [frozenset(words_of(n)) for n in lines] for f, lines in short_notices().items()}
         self.short = {f: list(set(notices)) for f, notices in short.items()}
         spread = Counter(w for notices in self.short.values() for w in frozenset().union(*notices))
@@ -356,9 +458,8 @@ class Scanner:
         mine = pairs_of(line)
         best = 0.0
         for notice in self.notices[family]:
-            least = min(len(mine), len(notice))
-            if least >= min(3, len(notice)):
-                best = max(best, len(mine & notice) / least)
+            if min(len(mine), len(notice)) >= min(3, len(notice)):
+                best = max(best, self.told(mine & notice) / min(self.told(mine), self.told(notice)))
         each = words_of(line)
         if 0 < len(each) <= SHORT:
             words = frozenset(each)
@@ -366,6 +467,10 @@ class Scanner:
                 best = max(best, self.weight(words & notice) / self.weight(words | notice))
         return best
 
+    def told(self, pairs: set[tuple[str, str]]) -> float:
+        """How much pairs say about a family: one that no notice or one family has counts whole."""
+        return sum(1 / max(1, self.spread[p]) for p in pairs)
+
     def weight(self, words: frozenset[str]) -> float:
         return sum(0.5 if w in self.common else 1.0 for w in words)
 
@@ -375,14 +480,12 @@ class Scanner:
         lines, owner, places = [], [], []
         counts = []
         for t, text in enumerate(texts):
-            at = n = 0
-            for line in (text or "").split("\n"):
-                if line and not line.isspace():
-                    lines.append(line)
-                    owner.append(t)
-                    places.append((n, at))
-                    n += 1
-                at += len(line) + 1
+            n = 0
+            for start, end in paragraphs(text):
+                lines.append(text[start:end])
+                owner.append(t)
+                places.append((n, start))
+                n += 1
             counts.append(n)
         found: list[list] = [[] for _ in texts]
         if lines:
@@ -406,9 +509,12 @@ class Scanner:
             p = np.exp(z - z.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             for i in np.flatnonzero(p[:, 0] < m.none):
+                # Numbers and signs alone are no notice.
+                if not _LETTER.search(lines[i]):
+                    continue
                 c = int(p[i, 1:].argmax()) + 1
                 near = self.similarity(lines[i], m.families[c])
-                sure = p[i, c] >= m.cut and near >= CONFIRM
+                sure = p[i, c] >= m.cut and near >= m.confirm
                 # The likeness to any family's notices tells unlisted notices from other lines.
                 if not sure and max(self.similarity(lines[i], f) for f in m.families[1:]) < m.near:
                     continue

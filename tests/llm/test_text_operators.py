@@ -277,6 +277,19 @@ def test_toxicity_scorer_equals_plain_forward(docs):
         assert score == pytest.approx(toxicity.sigmoid(np.concatenate(top) @ model.out + model.bias), abs=1e-4)
 
 
+def test_toxicity_odd_rows_with_a_trained_model(spark, odd, docs, labels):
+    model = toxicity.learn(docs.unionByName(docs), labels)
+    assert model.constant is None
+    out, names = toxicity.score(odd, model)
+    rows = out.collect()
+    assert len(rows) == odd.count() and out.columns[: len(odd.columns)] == odd.columns
+    same = {}
+    for r in rows:
+        s = r[names["score"]]
+        assert 0 <= s <= 1 and r[names["predicted"]] == int(s >= 0.5) and r[names["flagged"]] == (s >= r[names["threshold"]])
+        assert same.setdefault(" ".join(toxicity.tokens(r.text)), s) == pytest.approx(s, abs=1e-6)
+
+
 def test_toxicity_odd_rows(odd, empty, labels):
     none = toxicity.learn(odd, labels.filter("false"))
     out, names = toxicity.score(odd, none)
@@ -519,6 +532,79 @@ def test_licenses_in_few_words_and_unlisted_ones(docs):
     assert {(r.n_license, r.n_unknown) for r in licenses.scan(df, model).collect()} == {(0, 1)}
 
 
+# Paragraphs as they stand in files, none of them calibrated on.
+WRAPPED_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+WRAPPED_GPL = """This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+WRAPPED_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE."""
+FOUND = {
+    WRAPPED_MIT: "mit",
+    "The above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.": "mit",
+    WRAPPED_WARRANTY: "mit",
+    "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "bsd",
+    WRAPPED_GPL: "gpl",
+    "Licensed under the Eclipse Public License, version 2.0.": "unknown",
+    "Distributed under the Boost Software License, Version 1.0.": "unknown",
+    "The driver lost his license after the accident.": None,
+    "He needs a license to sell fish in the old harbour.": None,
+    "10.2": None,
+}
+
+
+def test_licence_paragraphs_as_they_stand_in_files(docs):
+    scanner = licenses.Scanner(licenses.learn(docs))
+    for text, family in FOUND.items():
+        before = "A line before.\n\n"
+        ((n, found),) = scanner.scan([before + text + "\n\nA line after."])
+        assert n == 3
+        assert [f[3] for f in found] == ([family] if family else []), text
+        assert all((before + text)[f[1] : f[2]] == text for f in found)
+
+
+def test_licence_paragraphs_of_wrapped_lines():
+    long = "w" * 60
+    cases = {
+        None: [], "": [], " \n\t\n": [], "a\nb": ["a", "b"], f"{long}\nb\nc": [f"{long}\nb", "c"],
+        f"{long}.\nb": [f"{long}.", "b"], f"{long}\n\nb": [long, "b"], f"{'w' * 200}\nb": ["w" * 200, "b"],
+        f"x\n{long}\n{long}\n{long};\n\nb": ["x", f"{long}\n{long}\n{long};", "b"],
+    }
+    for text, want in cases.items():
+        assert [(text or "")[a:b] for a, b in licenses.paragraphs(text)] == want
+
+
+def test_licence_likeness_equals_plain(docs):
+    """Weighted word pairs in common, of the lighter side's; pairs weigh 1 / families that have them."""
+    scanner = licenses.Scanner(licenses.learn(docs.limit(50)))
+    pair = lambda t: set(zip(licenses.words_of(t), licenses.words_of(t)[1:]))
+    families = {f: set().union(*map(pair, lines)) for f, lines in licenses.NOTICES.items()}
+    weigh = lambda pairs: sum(1 / max(1, sum(p in have for have in families.values())) for p in pairs)
+    text = "You may redistribute it under the terms of the GNU General Public License as published by the Free Software Foundation in any form you like"
+    for f, lines in licenses.NOTICES.items():
+        want = max(weigh(pair(text) & pair(n)) / min(weigh(pair(text)), weigh(pair(n))) for n in lines if len(pair(n)) >= 3)
+        assert scanner.similarity(text, f) == pytest.approx(want)
+
+
+def test_licences_odd_rows(spark, odd):
+    clash = odd.withColumnsRenamed({"score": "license", "kept": "n_unknown"}).withColumn("text", F.when(F.col("doc_id") == 4, F.lit("MIT License\n" + "word " * 60_000)).otherwise(F.col("text")))
+    model = licenses.learn(clash.unionByName(clash))
+    out = licenses.scan(clash, model)
+    assert out.columns[-6:] == ["n_paragraphs", "n_license", "n_unknown_", "families", "license_", "probability"]
+    assert [(r.license_, r.n_paragraphs) for r in out.filter("doc_id = 4").collect()] == [("mit", 2)]
+
+
 # ---------------------------------------------------------------- exact duplicates
 
 

@@ -1,7 +1,9 @@
 """The whole flow, run after run: raw files -> cleaned tables -> star -> wide table.
 
 For every table it is noted how far it has read each of its sources, after an update is whole; so a
-run that stopped halfway is built again by the next one, and a run without new files changes nothing. Beyond a plain
+run that stopped halfway is built again by the next one, and a run without new files changes nothing.
+How far a table itself reaches is noted with it, so no mark is looked for in the data: a raw table
+reaches its last load, another one as far as the sources it was built from. Beyond a plain
 "newer than the mark" filter three cases are looked after, so that loading in steps ends in the
 same tables as loading everything at once: a publication whose new version lost all its children,
 a link whose award arrives later, and a row whose unknown member becomes known.
@@ -10,6 +12,7 @@ a link whose award arrives later, and a row whose unknown member becomes known.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +26,8 @@ from ..streaming import raw_load
 from . import gold, reports, silver, suite
 
 MARKS_SCHEMA = "target string, source string, mark timestamp"
+#: Source under which it is noted how far a table itself reaches.
+ITSELF = ""
 RAW_TABLES = ("awards", "works", "funders", "topics")
 
 
@@ -73,17 +78,28 @@ class Warehouse:
             return I.EPOCH_MARK
         return I.high_water(marks.filter((F.col("target") == target) & (F.col("source") == source)), "mark")
 
-    def _new(self, source: DataFrame, target: str, name: str) -> DataFrame:
-        """Rows of `source` (called `name`) that `target` has not taken in. How far that reaches is
-        noted by `_done`, after the whole update: one that is cut short is built again."""
-        self._reached.setdefault(target, {})[name] = I.high_water(source)
-        return I.newer_than(source, self._mark(target, name))
+    def _note(self, target: str, reached: Mapping[str, object]) -> None:
+        rows = [(target, name, mark) for name, mark in reached.items()]
+        append_by_name(self.spark.createDataFrame(rows, MARKS_SCHEMA), f"{self.root}/marks", MARKS_SCHEMA)
+
+    def _new(self, source: DataFrame | None, target: str, name: str) -> DataFrame:
+        """Rows of `source` (called `name`, a raw table if no frame is given) that `target` has not taken
+        in. How far that reaches is noted by `_done`, after the whole update: one that is cut short is
+        built again."""
+        reach, mark = self._mark(name, ITSELF), self._mark(target, name)
+        if reach == I.EPOCH_MARK and source is not None:  # a table that is not kept here
+            reach = I.high_water(source)
+        self._reached.setdefault(target, {})[name] = reach
+        if source is None:
+            return raw_load.read_raw(self.spark, f"{self.root}/raw/{name}", mark)
+        return I.newer_than(source, mark)
 
     def _done(self, target: str) -> None:
+        """Rows take their load time over from the rows they are built from, so `target` reaches as far
+        as the furthest of its sources."""
         reached = self._reached.pop(target, {})
         if reached:
-            rows = [(target, name, mark) for name, mark in reached.items()]
-            append_by_name(self.spark.createDataFrame(rows, MARKS_SCHEMA), f"{self.root}/marks", MARKS_SCHEMA)
+            self._note(target, {**reached, ITSELF: max(reached.values())})
 
     # -- steps
     def plan(self, name: str, snapshot: str, initial_days: int, max_days: int) -> list[str]:
@@ -105,10 +121,13 @@ class Warehouse:
         partitions planned for it. Tables without a plan load all new files."""
         for name, (folder, schema) in sources.items():
             planned = (days or {}).get(name)
+            # Later than every load before, whatever the clocks say.
+            at = max(datetime.now(), self._mark(name, ITSELF) + timedelta(microseconds=1))
             raw_load.load_new_files(
                 self.spark, folder, f"{self.root}/raw/{name}", f"{self.root}/progress/{name}", schema,
-                planned, None if planned is None else files_per_day,
+                planned, None if planned is None else files_per_day, at,
             )
+            self._note(name, {ITSELF: at})
 
     def clean(self, as_of: Column | None = None) -> None:
         self.store.overwrite(silver.funders(self.raw("funders")), "slv_funders")
@@ -118,7 +137,7 @@ class Warehouse:
             ("works", "work_id", lambda raw: silver.work_history(raw, as_of)),
         ):
             history = f"slv_{name}_history"
-            versions = read(self._new(self.raw(name), history, name))
+            versions = read(self._new(None, history, name))
             self._stored(history).append(
                 versions, lambda new, cur, k=key: I.unseen(new, cur, k, "updated_at")
             )

@@ -1,9 +1,11 @@
-"""Raw layer: whole records in one VARIANT column, loaded file by file exactly once."""
+"""Raw layer: whole records in one VARIANT column, loaded file by file exactly once, one partition for
+each load. All rows of a load share its time, which names the partition, so "newer than" is a choice of
+partitions."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ RAW_SCHEMA = T.StructType(
         T.StructField("_loaded_at", T.TimestampType(), False),
     ]
 )
+#: Partition of a raw table: the time of the load, in a form that sorts like it.
+LOAD = "_load"
+LOAD_FORMAT = "%Y%m%dT%H%M%S.%f"
 PARTITION_DATE = r"updated_date=(\d{4}-\d{2}-\d{2})"
 
 
@@ -51,8 +56,10 @@ def load_new_files(
     schema: T.StructType,
     days: Sequence[str] | None = None,
     files_per_day: int | None = None,
+    loaded_at: datetime | None = None,
 ) -> None:
-    """Loads the files under `source` that no earlier run has loaded, then stops.
+    """Loads the files under `source` that no earlier run has loaded, then stops. Their rows get the time
+    `loaded_at` (now), which should be later than that of any earlier load.
 
     With `days` only the files of those update partitions, with `files_per_day` only the first parts
     of each. The checkpoint remembers the files, so a second run adds nothing, whatever either run
@@ -71,9 +78,12 @@ def load_new_files(
         .option("maxFileAge", "36500d")
         .parquet(folder)
     )
+    at = (loaded_at or datetime.now(timezone.utc)).astimezone(timezone.utc)
     query = (
-        as_raw(files)
+        as_raw(files, F.lit(at))
+        .withColumn(LOAD, F.lit(load_name(at)))
         .writeStream.format("parquet")
+        .partitionBy(LOAD)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -82,8 +92,17 @@ def load_new_files(
     query.awaitTermination()
 
 
-def read_raw(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(RAW_SCHEMA).parquet(target)
+def read_raw(spark: SparkSession, target: str, after: datetime | None = None) -> DataFrame:
+    """The raw table, or its loads later than `after`: others are neither listed nor opened."""
+    rows = spark.read.schema(T.StructType([*RAW_SCHEMA.fields, T.StructField(LOAD, T.StringType())])).parquet(target)
+    if after is not None:
+        rows = rows.filter(F.col(LOAD) > F.lit(load_name(after)))
+    return rows.drop(LOAD)
+
+
+def load_name(at: datetime) -> str:
+    """Partition of a load's time; a time without a zone, as Spark hands it out, is local."""
+    return at.astimezone(timezone.utc).strftime(LOAD_FORMAT)
 
 
 def pick_files(files: DataFrame, path: str, days: list[str], files_per_day: int) -> DataFrame:

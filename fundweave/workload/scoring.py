@@ -39,6 +39,26 @@ def group_folds(spark, sf):
     return rows.groupBy("source", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "group_folds_balanced",
+    """
+WITH RECURSIVE sized AS (
+  SELECT user_id, size, row_number() OVER (ORDER BY size DESC, user_id) AS turn
+  FROM (SELECT user_id, count(*) AS size FROM events GROUP BY user_id) g
+), dealt AS (
+  SELECT CAST(0 AS BIGINT) AS turn, [0, 0, 0, 0, 0]::BIGINT[] AS loads, CAST(NULL AS INTEGER) AS fold
+  UNION ALL
+  SELECT s.turn, list_transform([1, 2, 3, 4, 5], lambda f: loads[f] + CASE WHEN f = list_position(loads, list_min(loads)) THEN s.size ELSE 0 END),
+         CAST(list_position(loads, list_min(loads)) - 1 AS INTEGER)
+  FROM dealt d JOIN sized s ON s.turn = d.turn + 1
+)
+SELECT user_id, size, d.fold FROM dealt d JOIN sized USING (turn)""",
+)
+def group_folds_balanced(spark, sf):
+    """Each user's events stay together; users are dealt to the fold with the fewest events so far."""
+    return K.balanced_folds(shape(spark, sf, "events").select("user_id"), "user_id")
+
+
 @query("prior_baseline", oracle("SELECT doc_id, round((SELECT avg(label) FROM {scored} WHERE doc_id % 5 <> 0), 6) AS score FROM {scored} WHERE doc_id % 5 = 0"))
 def prior_baseline(spark, sf):
     rows = shape(spark, sf, "scored")

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.workspace import cut
-from .ordering import rank_in_group
+from .ordering import ordered_blocks, rank_in_group
 from .quality import union_all
 
 # Ratio of negatives to positives, and the seed of every draw.
@@ -41,9 +41,13 @@ def sample_entities(df: DataFrame, key: str, n: int, hash_of: Hash = seeded_hash
     return df.orderBy(hash_of(F.col(key)), key).limit(n)
 
 
-def shuffled(df: DataFrame, *keys: str, seed: int = SEED) -> DataFrame:
-    """Rows in a seeded random order, for exports."""
-    return df.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys)
+def shuffled(df: DataFrame, *keys: str, hash_of: Callable[..., Column] | None = None, name: str = "position") -> DataFrame:
+    """`df` with each row's place (from 1) in a seeded random order of its unique keys. Places are
+    counted in ordered blocks; no task orders all rows."""
+    h = hash_of(*[F.col(k) for k in keys]) if hash_of else F.xxhash64(*keys, F.lit(SEED))
+    order = [F.col("_h"), *[F.col(k) for k in keys]]
+    blocked = ordered_blocks(df.withColumn("_h", h), order)
+    return rank_in_group(blocked, [], "_block", order, name).drop("_h", "_block")
 
 
 def _blocks(df: DataFrame) -> int:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import sampling as S
 from ..operators.ordering import first_per_key, quantiles
+from ..sources import workspace
 from ..sources.tables import columns_between
 
 # The temporal cut and the contract's columns.
@@ -46,15 +49,19 @@ def development_sample(
     n_works: int = 400,
     years: tuple[int, int] = TRAIN_YEARS,
     hash_of: S.Hash = S.seeded_hash,
+    order_of: Callable[..., Column] | None = None,
 ) -> DataFrame:
-    """Pairs of a fixed-size sample of publications: what they received plus simple negatives."""
+    """Pairs of a fixed-size sample of publications, what they received plus simple negatives, without
+    the long texts, and each row's `position` in a seeded random order."""
     awards, works = split_sides(wide)
     in_range = works.filter(F.col("publication_year").between(*years))
-    chosen = S.sample_entities(in_range, "work_key", n_works, hash_of)
-    positives = wide.join(chosen.select("work_key"), "work_key", "left_semi").select(*KEYS)
+    chosen = S.sample_entities(in_range.select("work_key"), "work_key", n_works, hash_of)
+    # read several times below: stored once
+    positives = workspace.cut(wide.select(*KEYS).join(chosen, "work_key", "left_semi"), "positives")
     pairs = labelled(positives, S.random_negatives(positives, awards, hash_of))
+    placed = S.shuffled(pairs, *KEYS, hash_of=order_of)
     blank = F.lit(None).cast("string")
-    return enriched(pairs, works, awards).withColumns(
+    return enriched(placed, works, awards).withColumns(
         {"work_abstract": blank, "award_description": blank}
     )
 

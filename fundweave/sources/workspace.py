@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +43,20 @@ def cut(df: DataFrame, name: str = "step", staged: list[str] | None = None) -> D
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_ONCE: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def once(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The stored result of `build()`, built at its first use in a session or when its files are gone.
+    For inputs that do not change while the session lasts."""
+    key = (spark.sparkContext.applicationId, f"{shared_folder(spark)} {name}")
+    if key not in _ONCE or not exists(spark, f"{_ONCE[key][0]}/_SUCCESS"):
+        paths: list[str] = []
+        frame = cut(build(), "once", paths)
+        _ONCE[key] = (paths[0], frame)
+    return _ONCE[key][1]
+
+
 def discard(spark: SparkSession, staged: list[str]) -> None:
     """Deletes steps whose result has been written elsewhere."""
     while staged:

@@ -128,6 +128,38 @@ def sample_pairs(spark, sf):
     return P.enriched(both, *sides)
 
 
+PLACE = 7_919  # sets the order of the rows apart from that of the draws
+IN_WIDE = {
+    **SAMPLE,
+    "chosen": f"""SELECT work_key FROM {{obt}} WHERE publication_year BETWEEN {TRAIN[0]} AND {TRAIN[1]} GROUP BY work_key
+ORDER BY {hash_sql("work_key")}, work_key LIMIT 400""",
+    "pos": f"""SELECT work_key, award_key, row_number() OVER (PARTITION BY work_key ORDER BY {hash_order("award_key")}) AS turn
+FROM {{obt}} WHERE work_key IN (SELECT work_key FROM {{chosen}})""",
+    "pool": f"""SELECT award_key, row_number() OVER (ORDER BY {hash_order("award_key")}) - 1 AS number,
+       count(*) OVER () AS size FROM (SELECT DISTINCT award_key FROM {{obt}}) a""",
+}
+
+
+def place_hash(work: Column, award: Column) -> Column:
+    return F.pmod(key_hash(work) * PLACE + key_hash(award), F.lit(PRIME))
+
+
+@query(
+    "development_sample",
+    star.gold_oracle(f"""
+SELECT x.work_key, x.award_key, label, publication_year, funder_name, CAST(NULL AS VARCHAR) AS award_description,
+       CAST(row_number() OVER (ORDER BY ({hash_sql("x.work_key")} * {PLACE} + {hash_sql("x.award_key")}) % {PRIME}, x.work_key, x.award_key) AS BIGINT) AS position
+FROM (SELECT work_key, award_key, 1 AS label FROM {{pos}} UNION ALL SELECT work_key, award_key, 0 FROM {{neg}}) x
+JOIN (SELECT work_key, any_value(publication_year) AS publication_year FROM {{obt}} GROUP BY work_key) w USING (work_key)
+JOIN (SELECT award_key, any_value(funder_name) AS funder_name FROM {{obt}} GROUP BY award_key) a USING (award_key)""", **IN_WIDE),
+)
+def development_sample(spark, sf):
+    """From the wide table to a shuffled sample of pairs, in one flow."""
+    wide = obt.published(obt.flatten(star.star(spark, sf)))
+    sample = P.development_sample(workspace.cut(wide, "wide"), 400, TRAIN, key_hash, place_hash)
+    return sample.select("work_key", "award_key", "label", "publication_year", "funder_name", "award_description", "position")
+
+
 HARD = {
     "in_force": """SELECT award_id AS award_key, primary_topic_id AS topic, country_code AS country, y.y AS year
 FROM {s_awards} LEFT JOIN {s_funders} USING (funder_id), range(1995, 2002) y(y)
@@ -365,7 +397,9 @@ FEATURES = {"feats": FEATURE_SQL}
 
 
 def features(spark, sf):
-    return X.with_features(shape(spark, sf, "pairs"))
+    """Features over the pairs, which are a table: stored once in a session."""
+    pairs = workspace.once(spark, f"pairs {sf}", lambda: shape(spark, sf, "pairs"))
+    return X.with_features(pairs)
 
 
 @query("pair_features", pairs_oracle(FEATURE_SQL))

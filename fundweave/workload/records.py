@@ -6,6 +6,8 @@ row, the oracle reads the flat columns directly.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -130,11 +132,17 @@ def _first_n(n: str, *items: Column) -> Column:
     return F.when(F.col(n) > 0, F.slice(F.array(*items), 1, F.col(n).cast("int")))
 
 
-def stored(raw: DataFrame) -> DataFrame:
-    """The raw layer is a table: records are nested once and every reader scans the files."""
-    return workspace.cut(raw, "raw")
+def stored(build):
+    """The raw layer is a table: records are nested once in a session and every reader scans the files."""
+
+    @wraps(build)
+    def read(spark: SparkSession, sf: str) -> DataFrame:
+        return workspace.once(spark, f"{build.__name__} {sf}", lambda: build(spark, sf))
+
+    return read
 
 
+@stored
 def raw_awards(spark: SparkSession, sf: str) -> DataFrame:
     funder = F.when(
         F.col("funder_id").isNotNull(),
@@ -154,7 +162,7 @@ def raw_awards(spark: SparkSession, sf: str) -> DataFrame:
         _first_n("n_outputs", F.lit("x"), F.lit("y")).alias("funded_outputs"),
         F.col("outputs_count").alias("funded_outputs_count"),
     )
-    return stored(spread(shape(spark, sf, "rec_awards")).select(F.to_variant_object(record).alias("raw"), *LOAD))
+    return spread(shape(spark, sf, "rec_awards")).select(F.to_variant_object(record).alias("raw"), *LOAD)
 
 
 def word_positions(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,6 +175,7 @@ def word_positions(spark: SparkSession, sf: str) -> DataFrame:
     return per_word.groupBy("doc_id").agg(F.map_from_entries(entries).alias("positions"))
 
 
+@stored
 def raw_works(spark: SparkSession, sf: str) -> DataFrame:
     author = lambda i, place, corresponding, where, orcid=F.lit(None).cast("string"): F.struct(
         _named(id=f"a{i}_id", display_name=f"a{i}_name", orcid=orcid).alias("author"),
@@ -196,21 +205,23 @@ def raw_works(spark: SparkSession, sf: str) -> DataFrame:
         _first_n("n_aw", award(1), award(2), award(3)).alias("awards"),
     )
     rows = shape(spark, sf, "rec_works").join(word_positions(spark, sf), "doc_id", "left")
-    return stored(rows.select(F.to_variant_object(record).alias("raw"), *LOAD))
+    return rows.select(F.to_variant_object(record).alias("raw"), *LOAD)
 
 
+@stored
 def raw_funders(spark: SparkSession, sf: str) -> DataFrame:
     plain = ["id", "display_name", "description", "country_code", "is_global_south", "homepage_url",
              "awards_count", "works_count", "updated_date"]
     record = F.struct(*plain, _named(ror="ror").alias("ids"))
-    return stored(shape(spark, sf, "rec_funders").select(F.to_variant_object(record).alias("raw"), *LOAD))
+    return shape(spark, sf, "rec_funders").select(F.to_variant_object(record).alias("raw"), *LOAD)
 
 
+@stored
 def raw_topics(spark: SparkSession, sf: str) -> DataFrame:
     level = lambda n: _named(id=f"{n}_id", display_name=f"{n}_name").alias(n)
     record = F.struct("id", "display_name", "description", "works_count", "updated_date",
                       level("subfield"), level("field"), level("domain"))
-    return stored(shape(spark, sf, "rec_topics").select(F.to_variant_object(record).alias("raw"), *LOAD))
+    return shape(spark, sf, "rec_topics").select(F.to_variant_object(record).alias("raw"), *LOAD)
 
 
 # ---------------------------------------------------------------- oracle side of the records

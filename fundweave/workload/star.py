@@ -75,12 +75,14 @@ def star(spark: SparkSession, sf: str) -> Star:
 
 
 def stored_star(spark: SparkSession, sf: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Cleaned tables and star as files, the way jobs that read every table several times meet them."""
-    cleaned = {name: workspace.cut(shape(spark, sf, name), name) for name in CLEANED}
+    """Cleaned tables and star as files, the way jobs that read every table several times meet them:
+    stored once in a session."""
+    kept = lambda name, build: workspace.once(spark, f"{name} {sf}", build)
+    cleaned = {name: kept(name, lambda n=name: shape(spark, sf, n)) for name in CLEANED}
     built = Star(spark, cleaned.__getitem__)
     stored = {}
     for name in Star.NAMES:  # dependencies come first, so each table is built from stored ones
-        built._built[name] = stored[name] = workspace.cut(built[name], name)
+        built._built[name] = stored[name] = kept(name, lambda n=name: built[n])
     return cleaned, stored
 
 
@@ -211,8 +213,8 @@ SELECT award_id AS award_key, funder_award_id, award_title, award_description, h
        funder_scheme, funding_type, doi, landing_page_url, provenance, _loaded_at FROM {s_awards}"""
 
 
-def gold_oracle(sql: str) -> str:
-    return oracle(sql, **GOLD)
+def gold_oracle(sql: str, **ctes: str) -> str:
+    return oracle(sql, **GOLD, **ctes)
 
 
 SECONDS = "strftime(_loaded_at, '%Y-%m-%d %H:%M:%S') AS _loaded_at"

@@ -8,7 +8,8 @@ same verdict on every run.
 
 Everything is a DataFrame expression. Words, n-grams and scores are arrays inside a row. The counts
 cross a shuffle as one row per bucket and task. All trusted ids, whose number grows with the input,
-are joined to the texts as Spark sees fit; texts are shuffled once. The model is `BUCKETS` integers,
+are joined to the texts by sorting both, which spills where memory ends: texts are shuffled once, at every
+size alike, and the ids, which have no bound, are never broadcast. The model is `BUCKETS` integers,
 whatever the corpus; they enter the scoring plan as one array constant.
 
 Defined cases: null and empty texts have no words, score 0 and fail the base rules; the raw counts
@@ -127,7 +128,7 @@ def fit(
     """Log ratios of all buckets in thousandths, comma separated. `trusted` (doc_id) may be of any
     size; the counts cover every row of `docs`, and of the target every row with a trusted id."""
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
-    good = trusted.select(F.col("doc_id").alias("t_id")).distinct()
+    good = trusted.select(F.col("doc_id").alias("t_id")).distinct().hint("merge")
     # Words are hashed above the join: where it shuffles, texts are smaller than their hashes.
     flagged = rows.join(good, F.col("doc_id") == F.col("t_id"), "left").select(
         F.col("t_id").isNotNull().cast("long").alias("good"), hashes(words(F.col("text"))).alias("h")

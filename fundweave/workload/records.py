@@ -162,7 +162,8 @@ def raw_awards(spark: SparkSession, sf: str) -> DataFrame:
         _first_n("n_outputs", F.lit("x"), F.lit("y")).alias("funded_outputs"),
         F.col("outputs_count").alias("funded_outputs_count"),
     )
-    return spread(shape(spark, sf, "rec_awards")).select(F.to_variant_object(record).alias("raw"), *LOAD)
+    # the narrow orders are dealt out, not the wide records made of them
+    return select(spark, sf, SHAPES["rec_awards"], spread).select(F.to_variant_object(record).alias("raw"), *LOAD)
 
 
 def document_texts(spark: SparkSession, sf: str) -> DataFrame:

@@ -1,6 +1,5 @@
 """Raw records built from the driver's tables."""
 
-
 from fundweave.workload import records
 
 
@@ -36,3 +35,10 @@ def test_flatten_map_counts_documents_of_repeated_words(spark, tmp_path):
     got = {r.word: (r.occurrences, r.docs, r.position_sum) for r in found.collect()}
     assert got == {"a": (3, 2, 2), "b": (2, 2, 1), "c": (2, 1, 1)}
     assert plan(found).count("Aggregate [word") == 1
+
+
+def test_orders_are_dealt_out_before_records_are_made(spark):
+    """As many tasks as the size asks for, and narrow rows: 12 tasks each read a twelfth of the wide records."""
+    found = plan(records.raw_awards.__wrapped__(spark, "/root/testdata/sf0.001"))
+    after = found[found.index("RebalancePartitions"):]
+    assert "Repartition " not in found and "o_orderkey" in after and "funder_award_id" not in after

@@ -2,6 +2,7 @@
 
 from fundweave.sources import workspace
 from fundweave.workload import pairs
+from fundweave.workload.shape import shape
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,3 +14,17 @@ def test_the_wide_table_of_a_sample_is_stored_without_long_texts(spark, monkeypa
     assert sample.filter("label = 1").count() > 0
     assert not {"award_description", "abstract_text", "award_text", "work_text"} & set(stored["wide"])
     assert {"award_key", "work_key", "award_title", "work_title", "funder_name", "publication_year"} <= set(stored["wide"])
+
+
+def test_feature_pairs_are_the_rows_of_the_pairs(spark):
+    got = pairs.feature_pairs(spark, SMALL)
+    want = shape(spark, SMALL, "pairs").select(*got.columns)
+    assert got.count() > 0 and got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_pairs_travel_without_names_and_texts(spark):
+    """Topic names are joined above the joins that shuffle the pairs, not carried through them."""
+    tree = pairs.feature_pairs(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in tree if "Join " in line]
+    assert ["LeftOuter" in j for j in joins[:3]] == [True, True, False]
+    assert not [line for line in tree if "work_title" in line or "award_description" in line]

@@ -86,6 +86,23 @@ def test_wide_table_equals_a_plain_flatten(star, store):
     assert got["G4", "W5"]["funder_key"] == got["G4", "W5"]["award_topic_key"] == "UNKNOWN"
 
 
+def test_rows_meet_names_last_and_digests_at_their_own_grain(star):
+    shown = {"abstract_text": F.md5, "work_text": F.md5}
+    full, got = obt.published(obt.flatten(star)), obt.published(obt.flatten(star, shown)).drop("_obt_built_at")
+    want = full.withColumns({c: f(F.col(c)) for c, f in shown.items()}).drop("_obt_built_at")
+    assert got.columns == want.columns
+    plain = lambda df: sorted(map(str, df.collect()))
+    assert plain(got) == plain(want) and got.filter("abstract_text IS NOT NULL").count() > 0
+    # topics of both roles and both days are looked up above the joins that shuffle links
+    tree = full._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    joins = [line for line in tree if "Join " in line]
+    assert ["strategy=broadcast" in j for j in joins[:5]] == [True] * 4 + [False]
+    # no text is carried to the links where its digest is shown
+    tree = got._jdf.queryExecution().optimizedPlan().toString()
+    links = tree[: tree.index("struct(work_key")]
+    assert "md5(" not in links and "regexp" not in links.lower().replace("award_", "")
+
+
 def twice(df):
     return df.unionByName(df)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fundweave.operators import ranking, sampling
 from fundweave.sources import workspace
-from fundweave.sources.tables import csv_records, load_split, read_wide_csv
+from fundweave.sources.tables import csv_records, load_split, read_wide_csv, write_wide_csv
 from fundweave.streaming import raw_load
 
 
@@ -112,3 +112,18 @@ def test_one_quoted_file_is_read_by_many_tasks(spark):
     assert blocks > 10 and records == 3000
     whole = spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     assert sorted(map(tuple, got), key=lambda r: r[0]) == sorted(map(tuple, whole.collect()), key=lambda r: r[0])
+
+
+def test_exported_csv_is_small_and_read_without_a_copy(spark, monkeypatch):
+    texts = [None, "plain", 'a "quoted" word', "two\nlines", 'ends with "\n"', "\n\n", "win\r\ndows", " blanks ", "x" * 9000, "é中\n\U0001f600"]
+    rows = [(i, texts[i // 300], float(i) / 3 if i % 4 else None, texts[(i * 7 + 3) % len(texts)]) for i in range(3000)]
+    schema = "id long, a string, x double, b string"
+    path = workspace.new_folder(spark, "csv-export")
+    write_wide_csv(spark.createDataFrame(rows, schema).repartition(3, "a"), path)
+    files = workspace.files(spark, path)
+    assert all(name.endswith(".csv.gz") for name, _ in files)
+    assert sum(n for _, n in files) < sum(len(r[1] or "") + len(r[3] or "") for r in rows) / 20
+    monkeypatch.setattr(workspace, "cut", None)  # nothing is staged
+    back = read_wide_csv(spark, path, schema)
+    assert "Exchange" not in back._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, back.collect())) == rows

@@ -103,6 +103,16 @@ def test_rows_meet_names_last_and_digests_at_their_own_grain(star):
     assert "md5(" not in links and "regexp" not in links.lower().replace("award_", "")
 
 
+def test_a_version_finds_repeated_texts_in_a_whole_page(spark, store):
+    """Texts of 40,000 characters that differ between publications and are the same for their links."""
+    text = F.concat_ws("", F.transform(F.sequence(F.lit(1), F.lit(1250)), lambda i: F.md5(F.concat_ws(" ", F.col("w"), i))))
+    texts = spark.range(60).select(F.col("id").alias("w")).select("w", text.alias("t"))
+    wide = texts.crossJoin(spark.range(10)).coalesce(1).sortWithinPartitions("w")
+    version = store.stage(wide, "wide")
+    stored = sum(n for _, n in workspace.files(spark, f"{store.root}/wide/{version}"))
+    assert stored < 60 * 40_000 * 2 and store.read_version("wide", version).count() == 600
+
+
 def twice(df):
     return df.unionByName(df)
 

@@ -19,6 +19,8 @@ KEYS = ["work_key", "award_key"]
 TEXT_COLUMNS = ["award_title", "award_description", "work_title", "work_abstract"]
 #: Texts of the wide table that a development sample does without.
 LONG_TEXTS = ["award_description", "abstract_text", "award_text", "work_text"]
+#: Pairs that a task of the contract compares with each other.
+BLOCK_ROWS = 500_000
 AWARD_SPAN = ("funder_award_id", "has_inconsistent_dates")
 WORK_SPAN = ("work_doi", "author_country_codes")
 
@@ -117,9 +119,14 @@ def label_balance(pairs: DataFrame, group: str = "work_key") -> DataFrame:
 
 
 def contract(pairs: DataFrame, years: tuple[int, int] = TRAIN_YEARS) -> DataFrame:
-    """One row of booleans, one per clause of the pair contract."""
+    """One row of booleans, one per clause of the pair contract.
+
+    The four columns it looks at are stored narrow, so that their number is known, and dealt out by
+    publication to as many tasks as they need: a task holds about BLOCK_ROWS pairs at any size."""
     needed = [*KEYS, "label", "publication_year", *TEXT_COLUMNS]
-    per_pair = pairs.groupBy(*KEYS).agg(
+    narrow = workspace.cut(pairs.select(*KEYS, "label", "publication_year"), "contract")
+    dealt = narrow.repartition(1 + narrow.count() // BLOCK_ROWS, "work_key")
+    per_pair = dealt.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("copies"),
         F.sum("label").alias("label_sum"),
         F.min(F.coalesce(F.col("label").isin(0, 1), F.lit(False))).alias("binary"),

@@ -404,3 +404,20 @@ def test_null_label_breaks_the_pair_contract(spark):
         df = df.withColumn(c, F.lit("t"))
     df = df.withColumn("publication_year", F.lit(pairs.TRAIN_YEARS[0]))
     assert not pairs.contract(df).first()["labels_binary"]
+
+
+def test_the_contract_takes_as_many_tasks_as_there_are_pairs(spark, monkeypatch):
+    from fundweave.plans import pairs
+
+    rows = [(f"w{i // 4}", f"a{i}", int(i % 4 == 0), 2020) for i in range(200)]
+    df = spark.createDataFrame(rows, "work_key string, award_key string, label int, publication_year int")
+    df = df.withColumns({c: F.lit("t") for c in pairs.TEXT_COLUMNS})
+    monkeypatch.setattr(pairs, "BLOCK_ROWS", 10)
+    kept = pairs.contract(df)
+    assert "REPARTITION_BY_NUM" in kept._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(work_key" in (plan := kept._jdf.queryExecution().executedPlan().toString()) and ", 21)" in plan
+    assert list(kept.first()) == [True] * 5
+    again = pairs.contract(df.unionByName(df.limit(1)))
+    assert not again.first()["keys_unique"] and again.first()["groups_have_both"]
+    alone = pairs.contract(df.filter("label = 1"))
+    assert alone.first()["keys_unique"] and not alone.first()["groups_have_both"]

@@ -21,6 +21,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from fundweave.sources import workspace
 from fundweave.llm import (
@@ -290,6 +291,102 @@ def test_toxicity_odd_rows_with_a_trained_model(spark, odd, docs, labels):
         assert same.setdefault(" ".join(toxicity.tokens(r.text)), s) == pytest.approx(s, abs=1e-6)
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    """Two common words, two in the rows that come last by a hash of their id, two in texts of over
+    20,000 characters: the embedding of each is trained, though no class has fewer than 2,000 short texts."""
+    last = F.row_number().over(Window.partitionBy(F.col("doc_id") % 2).orderBy(F.xxhash64("doc_id"))) > 2200
+    toxic = F.col("doc_id") % 2 == 1
+    few = F.when(toxic, "frzzt").otherwise("bloomy")
+    rare = F.when(toxic, "glimpz").otherwise("kindly")
+    text = F.when(F.col("doc_id") < 40, F.repeat(F.when(toxic, "zorgle ").otherwise("softly "), 3001)).when(last, rare)
+    docs = spark.range(4600).withColumnRenamed("id", "doc_id").withColumn("lang", F.lit("en"))
+    docs = docs.withColumn("text", text.otherwise(few))
+    model = toxicity.learn(docs, docs.select("doc_id", toxic.cast("int").alias("toxic")))
+    fresh = toxicity.blank().table
+    for word in ("frzzt", "bloomy", "glimpz", "kindly", "zorgle", "softly"):
+        at = toxicity.features(word)[0]
+        assert (model.table[at] != fresh[at]).any(), word
+    marks = toxicity.Scorer(model).score(["frzzt", "glimpz", "zorgle", "bloomy", "kindly", "softly"])
+    assert (marks[:3] > 0.5).all() and (marks[3:] < 0.5).all()
+
+
+def test_toxicity_packs_hold_every_labelled_row_whatever_the_tasks(spark, odd, docs, labels):
+    plenty = docs.select("doc_id", "lang", "text").unionByName(odd.select("doc_id", "lang", "text"))
+    marks = labels.unionByName(labels.withColumn("toxic", F.lit(0))).unionByName(
+        odd.select("doc_id", F.lit(0).alias("quality"), F.lit(1).alias("toxic"))
+    )
+    known = {r.doc_id: r.t for r in marks.groupBy("doc_id").agg(F.max("toxic").alias("t")).collect() if r.doc_id is not None}
+    found = {}
+    for parts in (2, 7):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        packs = toxicity.packed(plenty.repartition(parts), marks, 5).collect()
+        found[parts] = sorted((r.shard, r.part, r.held, *[bytes(r[b]) for b in toxicity.BLOBS], r.langs) for r in packs)
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert found[2] == found[7]
+    want = Counter((len(toxicity.tokens(r.text)), float(known[r.doc_id])) for r in plenty.collect() if r.doc_id in known)
+    got = Counter()
+    for r in packs:
+        lengths, toxic = np.frombuffer(r.lengths, np.int32), np.frombuffer(r.labels, np.float32)
+        got.update(zip(lengths.tolist(), toxic.tolist()))
+        assert len(lengths) == len(r.langs) == r.docs and toxic.sum() == r.ones
+    assert got == want
+
+
+def test_toxicity_rounds_average_the_packs(spark, docs, labels):
+    packs = toxicity.packed(docs.select("doc_id", "lang", "text"), labels, 3).filter("NOT held").cache()
+    start = toxicity.opening(3, (0.6, 3.0))
+    got = start
+    want, total, n = start, {}, Counter()
+    for r in packs.collect():
+        blobs = pa.RecordBatch.from_pylist([{b: bytes(r[b]) for b in toxicity.BLOBS}])
+        ((_, p),) = toxicity.unpacked(blobs)
+        keys, steps = toxicity.advance(start, p, np.random.default_rng([3, 0, r.shard, r.part]))
+        assert len(set(keys.tolist())) == len(keys)
+        for k, x in zip(keys.tolist(), steps.astype(object)):
+            total[k] = total.get(k, 0) + x
+            n[k] += 1
+    assert max(n.values()) == packs.count() == 3 and min(n.values()) == 1
+    keys = np.array(sorted(total))
+    want = toxicity.averaged(start, keys, np.array([total[k] / n[k] for k in keys.tolist()], float) / toxicity.UNIT)
+    got = toxicity.one_round(packs, start, 0)
+    for name in ("rows", "values", "past", "dense", "dense_past"):
+        assert np.allclose(getattr(got, name), getattr(want, name), atol=1e-7), name
+    assert (got.rows > 0).all() and not np.allclose(got.dense, start.dense)
+    model = toxicity.closing(got)
+    scored = toxicity.rated(packs, got).collect()
+    one = docs.join(labels, "doc_id").filter(F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(5)) != 0).collect()
+    plain = toxicity.Scorer(model).score([r.text for r in one])
+    assert np.allclose(sorted(r.score for r in scored), sorted(plain), atol=1e-5)
+    packs.unpersist()
+
+
+def test_toxicity_blocks_of_places_give_the_same_peaks(docs, monkeypatch):
+    texts = [toxicity.tokens(r.text) for r in docs.limit(20).collect()] + [[], ["one"], ["a"] * 300]
+    p = toxicity.pack(texts, [i % 2 for i in range(len(texts))])
+    state = toxicity.opening(3)
+    steps, some = toxicity.Steps(p, state.local(p.rows)[0], state.dense), np.arange(len(texts))
+    top = steps.forward(some)
+    where = steps.where
+    for block in (1, 7, 64):
+        monkeypatch.setattr(toxicity, "PLACES", block)
+        assert np.allclose(steps.forward(some), top, atol=1e-6)
+        # Equal responses, such as those of repeated words, may be found at another of their places.
+        assert (steps.where == where).mean() > 0.99
+
+
+def test_toxicity_cuts_equal_plain_ones(spark):
+    r = random.Random(3)
+    rows = [(r.choice(["en", "de", None]), r.randint(0, 60) / 60, float(r.random() < 0.4)) for _ in range(900)]
+    rows += [("fr", 0.5, 0.0), ("fr", 0.7, 0.0), ("es", 0.25, 1.0), ("es", 0.125, 0.0), ("it", 0.5, 1.0), ("it", 0.75, 0.0)]
+    got = toxicity.cuts(spark.createDataFrame(rows, "lang string, score double, toxic float"))
+    plain = lambda some: toxicity.best_cut(np.array([x[1] for x in some]), np.array([x[2] for x in some]))
+    assert set(got) == {None, "en", "de", "es", "it"}
+    assert got.pop(None) == pytest.approx(plain(rows))
+    for lang, cut in got.items():
+        assert cut == pytest.approx(plain([x for x in rows if x[0] == lang])), lang
+    assert toxicity.cuts(spark.createDataFrame([], "lang string, score double, toxic float")) == {}
+
+
 def test_toxicity_odd_rows(odd, empty, labels):
     none = toxicity.learn(odd, labels.filter("false"))
     out, names = toxicity.score(odd, none)

@@ -29,7 +29,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
-from itertools import chain, count
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -124,8 +124,12 @@ def layout(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
 
 
 def taps(filters: list[np.ndarray]) -> np.ndarray:
-    """(all spans' filter taps, WIDTH): word embedding to its responses at every place of a filter."""
-    return np.concatenate([f[j].T for f in filters for j in range(len(f))])
+    """(all filters, places of the widest span times WIDTH): embeddings of neighbouring words to the
+    responses at the first of them. Shorter filters end in zeros."""
+    out = np.zeros((FILTERS * len(filters), max(SPANS) * WIDTH), np.float32)
+    for i, f in enumerate(filters):
+        out[i * FILTERS : (i + 1) * FILTERS, : len(f) * WIDTH] = f.reshape(-1, FILTERS).T
+    return out
 
 
 def peaks(
@@ -133,27 +137,23 @@ def peaks(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Largest response (document, filter) in each document, and on request where it was. The word at
     a place is number `at`, its embedding that column of `columns`; `taken` are the filters' taps."""
-    top = np.full((len(starts), FILTERS * len(SPANS)), -np.inf, np.float32)
+    top = np.full((len(starts), len(taken)), -np.inf, np.float32)
     where = np.zeros(top.shape if find else (0, 0), np.int64)
-    for a in range(0, len(at), PLACES):
-        z = taken @ columns.take(at[a : a + PLACES + max(SPANS) - 1], axis=1)
-        some = slice(np.searchsorted(stops, a, "right"), np.searchsorted(starts, a + PLACES))
-        begin, end = np.maximum(starts[some] - a, 0), np.minimum(stops[some] - a, PLACES)
+    reach = max(SPANS) - 1
+    for a in range(0, len(at) - reach, PLACES):
+        n = min(PLACES, len(at) - reach - a)
+        x = columns.take(at[a : a + n + reach], axis=1)
+        z = taken @ np.concatenate([x[:, j : j + n] for j in range(reach + 1)])
+        some = slice(np.searchsorted(stops, a, "right"), np.searchsorted(starts, a + n))
+        begin, end = np.maximum(starts[some] - a, 0), np.minimum(stops[some] - a, n)
         if not len(begin):
             continue
         bounds = np.stack([begin, end], axis=1).ravel()
-        row = 0
-        for i, k in enumerate(SPANS):
-            y = z[row : row + FILTERS]
-            for j in range(1, k):
-                y[:, :-j] += z[row + j * FILTERS : row + (j + 1) * FILTERS, j:]
-            row += k * FILTERS
-            mine = slice(i * FILTERS, (i + 1) * FILTERS)
-            best = np.maximum.reduceat(y, bounds, axis=1)[:, ::2].T
-            if find:
-                here = np.stack([y[:, p:q].argmax(axis=1) + (a + p) for p, q in zip(begin, end)])
-                where[some, mine] = np.where(best > top[some, mine], here, where[some, mine])
-            top[some, mine] = np.maximum(top[some, mine], best)
+        best = np.maximum.reduceat(z, bounds[:-1] if bounds[-1] == n else bounds, axis=1)[:, ::2].T
+        if find:
+            here = np.stack([z[:, p:q].argmax(axis=1) + (a + p) for p, q in zip(begin, end)])
+            where[some] = np.where(best > top[some], here, where[some])
+        top[some] = np.maximum(top[some], best)
     return top, where
 
 
@@ -165,6 +165,18 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+class Numbers(dict):
+    """Numbers of words, from 1 on in the order in which they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self) + 1
+        return n
+
+    def of(self, texts: list[list[str]], n: int) -> np.ndarray:
+        """Numbers of the `n` words of some texts, one after the other."""
+        return np.fromiter(map(self.__getitem__, chain.from_iterable(texts)), np.int32, n)
+
+
 @dataclass
 class Pack:
     """Labelled documents as word numbers. Word 0 is the padding."""
@@ -181,9 +193,8 @@ class Pack:
 
 def pack(texts: list[list[str]], labels: list[float]) -> Pack:
     """`texts` are given as tokens."""
-    known = dict(zip(dict.fromkeys(chain.from_iterable(texts)), count(1)))
-    lengths = np.asarray([len(t) for t in texts], np.int32)
-    words = np.fromiter(map(known.__getitem__, chain.from_iterable(texts)), np.int32, int(lengths.sum()))
+    known, lengths = Numbers(), np.asarray([len(t) for t in texts], np.int32)
+    words = known.of(texts, int(lengths.sum()))
     found = np.asarray([(0, 0, 0, 0), *map(features, known)], np.int32)
     rows, places = np.unique(found, return_inverse=True)
     return Pack(
@@ -332,7 +343,7 @@ def advance(state: State, p: Pack, order: np.random.Generator) -> tuple[np.ndarr
     rest = np.concatenate([dense - state.dense, dense_past - state.dense_past])
     rest = np.pad(rest, (0, -len(rest) % WIDTH)).reshape(-1, WIDTH)
     keys = np.concatenate([p.rows[moved], -1 - np.arange(len(rest))])
-    lines = np.column_stack([(table - before)[moved], (past - past_before)[moved]])
+    lines = np.column_stack([table[moved] - before[moved], past[moved] - past_before[moved]])
     lines = np.concatenate([lines, np.pad(rest, ((0, 0), (0, 1)))])
     return keys, np.rint(lines.astype(float) * UNIT).astype(np.int64)
 
@@ -417,8 +428,9 @@ def packed(docs: DataFrame, labels: DataFrame, shards: int) -> DataFrame:
 def _packs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come shard by shard."""
     schema = pa.schema(
-        [("shard", pa.int32()), ("part", pa.int32()), ("held", pa.bool_()), ("docs", pa.int64()), ("ones", pa.float64()),
-         ("least", pa.float32()), ("most", pa.float32()), *[(b, pa.binary()) for b in BLOBS], ("langs", pa.list_(pa.string()))]
+        [("shard", pa.int32()), ("part", pa.int32()), ("held", pa.bool_()),
+         ("docs", pa.int64()), ("ones", pa.float64()), ("least", pa.float32()), ("most", pa.float32()),
+         *[(b, pa.binary()) for b in BLOBS], ("langs", pa.list_(pa.string()))]
     )
     shard, part = -1, 0
     kept: dict[bool, tuple[list, list, list]] = {h: ([], [], []) for h in (False, True)}
@@ -556,8 +568,7 @@ def learn(
     known = labels.select("doc_id", "toxic").filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     packs = cut(packed(rows, known, max(1, -(-known.count() // shard))), "packs", staged, compression="zstd")
     mine = packs.filter("NOT held")
-    counts = mine.agg(F.sum("docs").alias("docs"), F.sum("ones").alias("ones"), F.min("least").alias("least"), F.max("most").alias("most"))
-    of = counts.first()
+    of = mine.selectExpr("sum(docs) AS docs", "sum(ones) AS ones", "min(least) AS least", "max(most) AS most").first()
     if not of.docs or of.least == of.most:
         m = blank()
         m.constant = float(of.least or 0)
@@ -580,20 +591,18 @@ class Scorer:
         self.start()
 
     def start(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.words = np.zeros((1, WIDTH), np.float32)
 
     def numbers(self, texts: list[list[str]], n: int) -> np.ndarray:
         """Places of the `n` words in `self.words`, one after the other."""
         if len(self.known) > REMEMBER:
             self.start()
-        new = set().union(*texts).difference(self.known)
+        ids = self.known.of(texts, n)
+        new = [features(w) for w in islice(self.known, len(self.words) - 1, None)]
         if new:
-            rows = np.asarray([features(w) for w in new], np.int32)
-            base = len(self.words)
-            self.known.update(zip(new, range(base, base + len(new))))
-            self.words = np.concatenate([self.words, embed(self.model, rows)])
-        return np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), np.int64, n)
+            self.words = np.concatenate([self.words, embed(self.model, np.asarray(new, np.int32))])
+        return ids
 
     def score(self, texts: list[str | None]) -> np.ndarray:
         if self.model.constant is not None:
@@ -607,7 +616,7 @@ class Scorer:
                 lengths = np.array([len(g) for g in group])
                 starts, ends, places = layout(lengths)
                 at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-                full = np.zeros(places, np.int64)
+                full = np.zeros(places, np.int32)
                 full[np.arange(len(ids)) + at] = ids
                 top, _ = peaks(np.ascontiguousarray(self.words.T), full, starts, ends, self.taps, False)
                 out.append(sigmoid(np.maximum(top + self.shift, 0) @ self.model.out + self.model.bias))

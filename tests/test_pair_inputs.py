@@ -28,3 +28,26 @@ def test_pairs_travel_without_names_and_texts(spark):
     joins = [line for line in tree if "Join " in line]
     assert ["LeftOuter" in j for j in joins[:3]] == [True, True, False]
     assert not [line for line in tree if "work_title" in line or "award_description" in line]
+
+
+def test_lists_of_countries_meet_the_pairs_last(spark):
+    """The widest column comes with the last join that shuffles the pairs, so no shuffle carries it on."""
+    tree = pairs.feature_pairs(spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(tree) if "Join Inner" in line)
+    depth = tree[at].index("Join Inner")
+    left = [line for line in tree[at + 1:]]
+    left = left[: next(i for i, line in enumerate(left) if line[depth:].startswith("+- "))]
+    assert any("label" in line for line in left)
+    assert not [line for line in left if "author_country_codes" in line]
+
+
+def test_pair_numbers_of_odd_lines(spark, tmp_path):
+    """Repeated lines, lines without a key, and lines whose negative is another line's link."""
+    lines = [(1, 5), (1, 5), (2, 5), (None, 5), (7, None), (None, None), (-3, 4), (6, 0), (7, 0), (8, 10**18)]
+    day = "CAST('1998-01-01 00:00:00' AS TIMESTAMP_NTZ) AS l_shipdate"
+    table = spark.createDataFrame(lines, "l_orderkey long, l_partkey long").selectExpr("*", day)
+    table.write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = "_work IS NOT NULL AND _award IS NOT NULL"  # others find neither publication nor award
+    got = pairs.pair_numbers(spark, str(tmp_path)).filter(whole).selectExpr("'W' || _work AS work_key", "'G' || _award AS award_key", "label")
+    want = shape(spark, str(tmp_path), "pair_keys").filter("work_key IS NOT NULL AND award_key IS NOT NULL")
+    assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 5

@@ -51,3 +51,15 @@ def test_pair_numbers_of_odd_lines(spark, tmp_path):
     got = pairs.pair_numbers(spark, str(tmp_path)).filter(whole).selectExpr("'W' || _work AS work_key", "'G' || _award AS award_key", "label")
     want = shape(spark, str(tmp_path), "pair_keys").filter("work_key IS NOT NULL AND award_key IS NOT NULL")
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() > 5
+
+
+def test_queries_read_the_stored_pairs(spark, monkeypatch):
+    """What is read from the stored pairs is not stored once more; of a vocabulary Spark knows the size."""
+    stored, cut = [], workspace.cut
+    monkeypatch.setattr(workspace, "cut", lambda df, name="step", *rest: stored.append(name) or cut(df, name, *rest))
+    pairs.impute_median(spark, SMALL)
+    assert "features" not in stored
+    stored.clear()
+    encoded = pairs.one_hot_rare(spark, SMALL)
+    assert [name for name in stored if name != "once"] == ["slots"]
+    assert "BroadcastHashJoin" in encoded._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fundweave.operators import quality as K
 from fundweave.operators.quality import ValidationError
-from fundweave.plans import build, obt, reports
+from fundweave.plans import build, gold, obt, reports
 from fundweave.sources import workspace
 from fundweave.sources.tables import KeyedTable, SnapshotStore, load_split
 from fundweave.streaming import raw_load
@@ -421,3 +421,43 @@ def test_the_contract_takes_as_many_tasks_as_there_are_pairs(spark, monkeypatch)
     assert not again.first()["keys_unique"] and again.first()["groups_have_both"]
     alone = pairs.contract(df.filter("label = 1"))
     assert alone.first()["keys_unique"] and not alone.first()["groups_have_both"]
+
+
+def test_compact_awards_are_the_same_rows(spark, star):
+    """Empty and blank texts, negative and missing numbers come out of the list as they went in."""
+    odd = {
+        "award_title": F.lit(""), "award_description": F.lit(' "q", \\ ñ\n\x00'), "amount": F.lit("-0.10").cast("decimal(18,2)"),
+        "duration_days": F.lit(-2_147_483_648), "currency": F.lit(None).cast("string"),
+    }
+    edited = {t: star[t].withColumns({c: e.cast(star[t].schema[c].dataType) for c, e in odd.items() if c in star[t].columns}) for t in ("fact_awards", "dim_award")}
+    for tables in (star, {**star, **edited}):
+        plain, got = (obt.published(obt.flatten(tables, compact=c)).drop("_obt_built_at") for c in (False, True))
+        assert got.schema.simpleString() == plain.schema.simpleString()
+        assert sorted(map(str, got.collect())) == sorted(map(str, plain.collect())) and got.count() > 0
+    # above the join that brings the award, links carry one column of it
+    tree = got._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(tree) if "Join LeftOuter, (struct(award_key" in line)
+    assert "_packed" in tree[at - 1] and "funder_name" not in tree[at - 1]
+
+
+def test_authors_are_listed_where_the_works_left_them(star):
+    """The bridge meets works last, so its rows need no further shuffle to be listed by work."""
+    session = star["brg_work_author"].sparkSession
+    rows = workspace.cut(star["brg_work_author"].withColumnsRenamed({"work_key": "work_id", "author_key": "author_id"}), "authorships")
+    works, authors = (workspace.cut(star[n], n) for n in ("dim_work", "dim_author"))
+    before = session.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        lists = gold.bridge(rows, works, authors).groupBy("work_key").agg(F.collect_set("author_key"))
+        plan = lists._jdf.queryExecution().executedPlan().toString()
+    finally:
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_a_wide_table_of_few_columns(star):
+    wanted = ["work_key", "award_key", "funder_name", "award_topic_name", "publication_year"]
+    rows = lambda df: sorted(map(str, df.select(*wanted).collect()))
+    want = rows(obt.flatten(star))
+    assert rows(obt.flatten(star, columns=wanted)) == want == rows(obt.flatten(star, columns=wanted, compact=True))
+    assert "award_text" not in obt.flatten(star, columns=wanted).columns

@@ -229,3 +229,29 @@ def test_unseen_category_without_rare_bucket_is_all_zeros(spark):
     fitted = E.FeatureEncoder(["x"], ["c"]).fit(train)
     row = fitted.transform(spark.createDataFrame([(1.0, "z")], "x double, c string")).first()
     assert row.features.toArray().tolist() == [0.0, 0.0, 0.0]
+
+
+def test_runs_are_the_candidates_of_consecutive_slots(spark):
+    """Rings of one to a thousand candidates, runs that wrap around them, and more slots than candidates."""
+    sizes = [1, 2, 3, 255, 256, 257, 512, 1000]
+    start = {"u": 0, "v": 12_345_678, "w": S.STRIDE - 1}
+    number = F.create_map(*[x for w, n in start.items() for x in (F.lit(w), F.lit(n).cast("long"))])
+    pool = [(f"b{n}", f"a{n}-{i}", i, n) for n in sizes for i in range(n)]
+    candidates = spark.createDataFrame(pool, "bucket string, award_key string, _number long, _size long")
+    asked = [(w, f"b{n}", k) for w in start for n in sizes for k in (1, 300, 5000)]
+    for k in (1, 300, 5000):
+        want = {(w, f"b{n}", i): f"a{n}-{(start[w] + i * S.STRIDE) % n}" for w in start for n in sizes for i in range(min(k, n))}
+        runs = S._runs(spark.createDataFrame([a for a in asked if a[2] == k], "work_key string, bucket string, _slots long"), candidates, lambda c: number[c])
+        got = [((r.work_key, r.bucket, r.slot + i), a) for r in runs.collect() for i, a in enumerate(r.awards)]
+        assert len(got) == len(want) and dict(got) == want
+
+
+def test_hard_draws_travel_as_lists(spark):
+    """As many rows go to the works as there are runs and positives, not as many as draws."""
+    positives = spark.range(300).selectExpr("concat('W', id % 3) AS work_key", "concat('A', id) AS award_key", "2000 AS year", "'T' AS topic", "'C' AS country")
+    awards = spark.range(5000).selectExpr("concat('A', id) AS award_key", "1999 AS first_year", "CAST(NULL AS INT) AS last_year", "'T' AS topic", "'C' AS country")
+    found = S.hard_negatives(positives, awards)
+    assert found.count() == 4 * 300
+    tree = found._jdf.queryExecution().optimizedPlan().toString()
+    above = tree[: tree.index("RepartitionByExpression [work_key")]
+    assert "Generate posexplode(awards" in above

@@ -42,3 +42,10 @@ def test_orders_are_dealt_out_before_records_are_made(spark):
     found = plan(records.raw_awards.__wrapped__(spark, "/root/testdata/sf0.001"))
     after = found[found.index("RebalancePartitions"):]
     assert "Repartition " not in found and "o_orderkey" in after and "funder_award_id" not in after
+
+
+def test_positions_are_made_once_a_document(spark):
+    """Records of a document share its positions, and documents that no record shows have none made."""
+    found = plan(records.raw_works.__wrapped__(spark, "/root/testdata/sf0.001"))
+    assert found.index("Generate inline(records") < found.index("map_from_entries")
+    assert "exists(records" in found[found.index("map_from_entries"):]

@@ -255,3 +255,14 @@ def test_hard_draws_travel_as_lists(spark):
     tree = found._jdf.queryExecution().optimizedPlan().toString()
     above = tree[: tree.index("RepartitionByExpression [work_key")]
     assert "Generate posexplode(awards" in above
+
+
+def test_awards_are_dealt_out_before_they_are_members_of_buckets(spark):
+    """The same numbers either way, and no shuffle by block carries a row for each bucket of an award."""
+    awards = spark.range(400).selectExpr("concat('A', id) AS award_key", "id % 3 AS x")
+    members = lambda df: df.select("award_key", F.explode(F.array(F.lit("any"), F.concat(F.lit("t"), "x"))).alias("bucket"), *[c for c in df.columns if c[0] == "_"])
+    got = S.numbered(awards, ["bucket"], "award_key", S.seeded_hash, members)
+    assert rows(got.select("bucket", "award_key", "_number", "_size")) == rows(
+        S.numbered(members(awards), ["bucket"], "award_key", S.seeded_hash).select("bucket", "award_key", "_number", "_size"))
+    tree = got._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.index("Generate explode") < tree.index("RepartitionByExpression [_b")
